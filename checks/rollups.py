@@ -21,7 +21,7 @@ from surveylake.operators.rollups import (
     monthly_yago,
     new_records_check,
 )
-from surveylake.plans.daily import unified_responses
+from surveylake.plans.daily import run_availability, unified_responses
 from surveylake.plans.enrichment import account_reference, enriched_responses
 from surveylake.session import scratch_path
 from surveylake.sinks.tables import (
@@ -259,8 +259,9 @@ def _flags_sql(condition: str) -> str:
 def _tracker_upsert(spark, folder):
     """A full run, then an ivr-only run: the other flags keep their values, the report is the second one's."""
     root = scratch_path(spark, "tracker")
-    reports = _new_records(spark, folder)
-    present = availability(final(spark, folder), responses(spark, folder).select("channel").distinct())
+    _new_records(spark, folder).write.parquet(f"{root}-reports")
+    reports = spark.read.parquet(f"{root}-reports")
+    present = run_availability(reports)
     upsert_tracker(spark, root, tracker_update(present, reports, RUN_DATE, CHANNEL_NAMES))
     ivr = reports.filter(F.col("channel") == "ivr")
     upsert_tracker(spark, root, tracker_update(present, ivr, RUN_DATE, ["ivr"]))

@@ -56,10 +56,15 @@ def merge_tracker(state: DataFrame, update: DataFrame) -> DataFrame:
 
 
 def upsert_tracker(spark: SparkSession, root: str, update: DataFrame) -> None:
-    """Merge into the stored tracker; only the execution dates of the update are rewritten. Single writer."""
-    state = scan_table(spark, root, TRACKER)
-    touched = state.join(update.select("execution_date"), "execution_date", "left_semi")
-    overwrite_partitions(merge_tracker(touched, update), root, ["execution_date"])
+    """Merge into the stored tracker; only the execution date of the update is rewritten. Single writer.
+
+    The update is the one row of a run, so it is fetched and used as a literal.
+    """
+    rows = update.collect()
+    fixed = spark.createDataFrame(rows, update.schema)
+    dates = [row["execution_date"] for row in rows]
+    touched = scan_table(spark, root, TRACKER).filter(F.col("execution_date").isin(dates))
+    overwrite_partitions(merge_tracker(touched, fixed), root, ["execution_date"])
 
 
 def scoring_order(spark: SparkSession) -> DataFrame:
