@@ -88,12 +88,16 @@ IDENTITY = (
 
 
 def channel_raw(spark: SparkSession, folder: str, channel: Channel) -> DataFrame:
+    return _as_channel(responses(spark, folder), channel)
+
+
+def _as_channel(r: DataFrame, channel: Channel) -> DataFrame:
     """One channel's responses under the channel's own column names.
 
     The survey-language comment is filled on half of the rows, the plain one on
     all, so both branches of the coalesce are taken.
     """
-    r = responses(spark, folder).filter(F.col("channel") == channel.name)
+    r = r.filter(F.col("channel") == channel.name)
     in_language, plain = channel.comment_columns
     columns = {s.source: F.col(f"q{i}") for i, s in enumerate(channel.scores, start=1)}
     columns |= {raw: F.col("intent") for _, raw in channel.text_questions}
@@ -105,7 +109,8 @@ def channel_raw(spark: SparkSession, folder: str, channel: Channel) -> DataFrame
 
 
 def raw_channels(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: channel_raw(spark, folder, spec) for name, spec in SPECS.items()}
+    r = responses(spark, folder)
+    return {name: _as_channel(r, spec) for name, spec in SPECS.items()}
 
 
 # The lookup derives from the event types present: "signup" has no entry, "error"

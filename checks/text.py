@@ -68,7 +68,7 @@ def cleaned(spark, folder):
     "clean_prep",
     f"""WITH {TEXTS_SQL}, {CLEANED_SQL}
     SELECT record_id, customer_text_clean, has_pii, needs_translation FROM cleaned
-    WHERE length(customer_text_clean) >= 3 AND octet_length(customer_text_clean::BLOB) <= 100000""",
+    WHERE length(customer_text_clean) >= 3 AND strlen(customer_text_clean) <= 100000""",
 )
 def _clean_prep(spark, folder):
     return scorable(cleaned(spark, folder)).drop("channel", "source")
@@ -86,7 +86,7 @@ def _pii_flag(spark, folder):
     "text_sizes",
     f"""WITH {TEXTS_SQL}, {CLEANED_SQL}
     SELECT channel, count(*) AS texts,
-           count(*) FILTER (WHERE octet_length(customer_text_clean::BLOB) > 20000) AS oversized
+           count(*) FILTER (WHERE strlen(customer_text_clean) > 20000) AS oversized
     FROM cleaned GROUP BY channel""",
 )
 def _text_sizes(spark, folder):

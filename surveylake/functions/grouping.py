@@ -59,25 +59,22 @@ def not_first(df: DataFrame, keys: Sequence[str], rank: Column, carry: Sequence[
 
     ``rank`` must be the one given to ``keep_first`` and cover every column of
     this frame that is not a key. Rows behind the survivor then come straight
-    from the join, and rows equal to it are copies: they are counted per group,
-    and all but one of them are written out again.
+    from the join with the summary. Rows equal to it are copies: they are
+    counted before any join, and all but one of them are written out again.
     """
     columns = df.columns
     work = df.withColumn("_rank", rank)
     summary = group_summary(work, keys, F.col("_rank"), carry)
-    joined = work.alias("r").join(summary.alias("g"), same_keys("r", "g", keys))
     kept = [F.col(f"g._survivor.`{c}`").alias(f"_kept_{c}") for c in carry]
-    rows = joined.select("r.*", *kept, (F.col("r._rank") == F.col("g._survivor.rank")).alias("_tie"))
-
-    behind = rows.filter(~F.col("_tie")).drop("_tie", "_rank")
-    everything = [*columns, *[f"_kept_{c}" for c in carry]]
-    ties = (
-        rows.filter(F.col("_tie"))
-        .groupBy(*[f"`{c}`" for c in everything])
-        .agg((F.count(F.lit(1)) - 1).alias("_copies"))
-        .filter(F.col("_copies") > 0)
-    )
-    return behind.select(*everything).unionByName(repeat_rows(ties, "_copies"))
+    rows = [F.col(f"r.`{c}`") for c in columns]
+    same_group = same_keys("r", "g", keys)
+    is_survivor = F.col("r._rank") == F.col("g._survivor.rank")
+
+    behind = work.alias("r").join(summary.alias("g"), same_group & ~is_survivor).select(*rows, *kept)
+    copied = work.groupBy(*[f"`{c}`" for c in work.columns]).agg((F.count(F.lit(1)) - 1).alias("_copies"))
+    copied = copied.filter(F.col("_copies") > 0).alias("r")
+    copies = copied.join(summary.alias("g"), same_group & is_survivor).select(*rows, *kept, "r._copies")
+    return behind.unionByName(repeat_rows(copies, "_copies"))
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:
