@@ -465,3 +465,7 @@ def _enrich_all(spark, folder):
     enriched = enriched_responses(two_accounts(spark, folder), reference, BATCH)
     added = ("arrears_current_balance", "cas_division", "cf_ma_rtm_ami_lost_power_off_datetm")
     return enriched.select(*ENRICH_ROWS, *added)
+
+
+# Queries whose join sides grow with the tables; tests run them without any broadcast too.
+QUERY_NAMES_WITH_JOINS = ("dedup_removed", "intent_mapping", "enrich_all", "append_missing")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -48,6 +49,11 @@ def local_session(app: str = "surveylake", cpus: int | str = "*", shuffle_partit
     return apply_run_conf(spark)
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="surveylake-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder for a written intermediate table, unique per call.
 
@@ -59,8 +65,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="surveylake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/surveylake/{label}-{uuid.uuid4().hex}"
 
 
