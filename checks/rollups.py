@@ -61,11 +61,13 @@ from .registry import query
 from .responses import BATCH, COMMENT_RANK_SQL, KEY_RANK_SQL
 
 AVERAGES = ("q1_avg_csat", "q2_avg_csat", "q3_avg_csat")
-AVERAGES_SQL = ", ".join(f"round(avg(q{i}), 6) AS q{i}_avg_csat" for i in (1, 2, 3))
+# The order of a floating sum must not decide how a half-way value is rounded, so both sides add the same nudge.
+NUDGE = 1e-8
+AVERAGES_SQL = ", ".join(f"round(avg(q{i}) + {NUDGE}::DOUBLE, 6) AS q{i}_avg_csat" for i in (1, 2, 3))
 
 
 def rounded(df):
-    return df.withColumns({c: F.round(c, 6) for c in AVERAGES})
+    return df.withColumns({c: F.round(F.col(c) + NUDGE, 6) for c in AVERAGES})
 
 
 # Final responses of all channels with numeric scores, as the daily run leaves them.

@@ -348,7 +348,7 @@ def _featured(spark, folder):
 
 def _scored(spark, folder):
     featured = _featured(spark, folder)
-    models = train_topics(featured)
+    models = train_topics(featured, scratch_path(spark, "models"))
     renamed = featured.withColumnsRenamed({t: f"true_{t}" for t in TOPICS})
     return score_topics(renamed, models), models
 
@@ -356,7 +356,7 @@ def _scored(spark, folder):
 @query("train_topics")
 def _train_topics(spark, folder):
     """One row per trained model: classes and features."""
-    models = train_topics(_featured(spark, folder))
+    models = train_topics(_featured(spark, folder), scratch_path(spark, "models"))
     rows = [(key, len(labels), model.numFeatures) for key, (model, labels) in models.items()]
     return spark.createDataFrame(rows, "model string, classes int, features int")
 
@@ -370,7 +370,7 @@ def _score_topics(spark, folder):
 @query("score_sentiment")
 def _score_sentiment(spark, folder):
     featured = _featured(spark, folder)
-    models = train_topics(featured, ["overall_sentiment"])
+    models = train_topics(featured, scratch_path(spark, "models"), ["overall_sentiment"])
     scored = score_topics(featured.drop("overall_sentiment"), models)
     return scored.select(
         "record_id", "overall_sentiment", F.round("overall_sentiment_confidence", 4).alias("confidence")
@@ -413,7 +413,7 @@ def _discover_topics(spark, folder):
 
 
 def _inventory(spark, folder):
-    """The table files: the whole folder as one prefix, the documents file again as another."""
+    """The table files, listed as one prefix below the parent folder."""
     root, _, name = folder.rstrip("/").rpartition("/")
     return root, list_objects(spark, f"file://{root}", [name], partitions=4)
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer, StringIndexer
 from pyspark.sql import DataFrame
@@ -85,13 +85,15 @@ def featurize(model: PipelineModel, texts: DataFrame) -> DataFrame:
 
 
 def train_topics(
-    featured: DataFrame, topics: Sequence[str] = TOPICS, family: str = "model_family", parallel: int = 6
+    featured: DataFrame, folder: str, topics: Sequence[str] = TOPICS, family: str = "model_family", parallel: int = 6
 ) -> dict[str, tuple[Transformer, list[str]]]:
     """One classifier per topic, and per channel family where the topic has two.
 
-    The fits run side by side as Spark jobs over the same persisted features. A
+    The fits run side by side as Spark jobs over the same stored features. Each
+    model is saved under ``folder`` and the saved one is returned: a fitted model
+    still holds its training data's session, a loaded one is plain weights. A
     topic with fewer than two labels in its rows gets no model; a family without
-    one falls back to no prediction for that topic.
+    one has no prediction for that topic.
     """
     jobs = []
     for topic in topics:
@@ -105,13 +107,13 @@ def train_topics(
         labelled = rows.filter(F.col(topic).isNotNull()).select("features", F.col(topic).cast("string").alias(topic))
         index = StringIndexer(inputCol=topic, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
         if len(index.labels) < 2:
-            return key, None
+            return None
         classifier = LogisticRegression(maxIter=20, regParam=0.01, featuresCol="features", labelCol="label")
-        return key, (classifier.fit(index.transform(labelled)), list(index.labels))
+        classifier.fit(index.transform(labelled)).write().overwrite().save(f"{folder}/{key}")
+        return key, (LogisticRegressionModel.load(f"{folder}/{key}"), list(index.labels))
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        fitted = list(pool.map(fit, jobs))
-    return {key: model for key, model in fitted if model is not None}
+        return dict(fitted for fitted in pool.map(fit, jobs) if fitted)
 
 
 def discover_topics(texts: DataFrame, text: str = "customer_text_clean", k: int = 8, terms: int = 10) -> DataFrame:

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RESULT = "prefix string, path string, length bigint, ok boolean, error string"
-
-
 def copy_objects(
     inventory: DataFrame, source: str, target: str, partitions: int = 200, threads: int = 10, dry_run: bool = False
 ) -> DataFrame:
@@ -26,38 +23,41 @@ def copy_objects(
         import uuid
         from concurrent.futures import ThreadPoolExecutor
 
+        import pyarrow as pa
         from pyarrow import fs as pafs
 
         src, src_base = pafs.FileSystem.from_uri(source)
         dst, dst_base = pafs.FileSystem.from_uri(target)
 
-        def one(path, length):
+        def one(item):
             if dry_run:
-                return True, None
-            final = f"{dst_base}/{path}"
+                return None
+            final = f"{dst_base}/{item['path']}"
             attempt = f"{final}.part-{uuid.uuid4().hex}"
             try:
                 dst.create_dir(final.rsplit("/", 1)[0], recursive=True)
-                with src.open_input_stream(f"{src_base}/{path}") as reader:
+                copied = 0
+                with src.open_input_stream(f"{src_base}/{item['path']}") as reader:
                     with dst.open_output_stream(attempt) as writer:
-                        copied = 0
                         while block := reader.read(8 << 20):
                             writer.write(block)
                             copied += len(block)
-                if copied != length:
-                    raise OSError(f"copied {copied} of {length} bytes")
+                if copied != item["length"]:
+                    raise OSError(f"copied {copied} of {item['length']} bytes")
                 dst.move(attempt, final)
-                return True, None
             except OSError as error:
-                return False, str(error)
+                return str(error)
+            return None
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
-                outcome = list(pool.map(one, batch["path"], batch["length"]))
-                yield batch.assign(ok=[o for o, _ in outcome], error=[e for _, e in outcome])
+                errors = list(pool.map(one, batch.to_pylist()))
+                yield batch.append_column("error", pa.array(errors, pa.string()))
 
-    copied = spread.mapInPandas(copy, "path string, length bigint, prefixes array<string>, ok boolean, error string")
-    return copied.select(F.explode("prefixes").alias("prefix"), "path", "length", "ok", "error")
+    copied = spread.mapInArrow(copy, "path string, length bigint, prefixes array<string>, error string")
+    return copied.select(
+        F.explode("prefixes").alias("prefix"), "path", "length", F.col("error").isNull().alias("ok"), "error"
+    )
 
 
 def copy_report(results: DataFrame) -> DataFrame:
