@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from surveylake.functions.expressions import PII_PATTERNS, has_pii, needs_translation, run_id
+from surveylake.functions.expressions import EMAIL_PATTERN, NUMBER_PATTERN, has_pii, needs_translation, run_id
 from surveylake.operators.corrections import (
     BATCH_SIZE,
     MAX_BATCHES,
@@ -31,7 +31,6 @@ from surveylake.operators.training import (
     SYNTHETIC_ALLOWED,
     classifier_metrics,
     discover_topics,
-    feature_model,
     featurize,
     topic_training_rows,
     train_topics,
@@ -47,21 +46,23 @@ from .registry import query
 
 # --- preparation ---------------------------------------------------------------------
 
-# The fallback of a blank text is its source name; texts in capitals are blanked to exercise it.
+# The fallback of a blank text is its source name.
 CLEANED_SQL = f"""
 cleaned AS (
   SELECT record_id, channel, source,
          trim(regexp_replace(coalesce(nullif(trim(text), ''), source), '[[:cntrl:]\\s]+', ' ', 'g'), ' ')
            AS customer_text_clean,
          coalesce(lower(trim(lang)) IN ('spanish', 'es'), false) AS needs_translation,
-         regexp_matches(coalesce(nullif(trim(text), ''), source), '{"|".join(f"(?:{p})" for p in PII_PATTERNS)}')
+         regexp_matches(coalesce(nullif(trim(text), ''), source), '{EMAIL_PATTERN}|{NUMBER_PATTERN}')
            AS has_pii
   FROM texts)
 """
 
 
-def cleaned(spark, folder):
-    return clean_prep(texts(spark, folder), "record_id", "text", "source", "lang", ["channel", "source"])
+def cleaned(spark, folder, *metadata):
+    """Cleaned texts of scorable size."""
+    usable = scorable(texts(spark, folder), "text", "source")
+    return clean_prep(usable, "record_id", "text", "source", "lang", metadata)
 
 
 @query(
@@ -71,7 +72,7 @@ def cleaned(spark, folder):
     WHERE length(customer_text_clean) >= 3 AND strlen(customer_text_clean) <= 100000""",
 )
 def _clean_prep(spark, folder):
-    return scorable(cleaned(spark, folder)).drop("channel", "source")
+    return cleaned(spark, folder)
 
 
 @query(
@@ -91,9 +92,9 @@ def _pii_flag(spark, folder):
 )
 def _text_sizes(spark, folder):
     """How many texts a scorer with a limit of 20000 bytes would skip."""
-    c = cleaned(spark, folder)
-    large = oversized(c, 20_000).groupBy("channel").agg(F.count(F.lit(1)).alias("oversized"))
-    every = c.groupBy("channel").agg(F.count(F.lit(1)).alias("texts"))
+    t = texts(spark, folder)
+    large = oversized(t, "text", "source", 20_000).groupBy("channel").agg(F.count(F.lit(1)).alias("oversized"))
+    every = t.groupBy("channel").agg(F.count(F.lit(1)).alias("texts"))
     return every.join(large, "channel", "left").withColumn("oversized", F.coalesce("oversized", F.lit(0)))
 
 
@@ -339,10 +340,8 @@ def _training_gate(spark, folder):
 def _featured(spark, folder):
     """Cleaned texts with features and known labels, written once for all fits."""
     root = scratch_path(spark, "features")
-    t = texts(spark, folder)
-    prepared = scorable(clean_prep(t, "record_id", "text", "source", "lang", ["channel", *TOPICS]))
-    prepared = prepared.withColumn("model_family", model_family(F.col("channel")))
-    featurize(feature_model(prepared), prepared).write.parquet(root)
+    prepared = cleaned(spark, folder, "channel", *TOPICS).withColumn("model_family", model_family(F.col("channel")))
+    featurize(prepared).drop("customer_text_clean").write.parquet(root)
     return spark.read.parquet(root)
 
 
@@ -406,7 +405,7 @@ def _classifier_metrics_counts(spark, folder):
 
 @query("discover_topics")
 def _discover_topics(spark, folder):
-    return discover_topics(scorable(cleaned(spark, folder)).select("customer_text_clean"))
+    return discover_topics(cleaned(spark, folder).select("customer_text_clean"))
 
 
 # --- objects ------------------------------------------------------------------------------

@@ -47,17 +47,38 @@ def clean_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[\p{Cntrl}\s]+", " "))
 
 
-# What counts as personal data in a comment.
-PII_PATTERNS = (
-    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",           # e-mail address
-    r"\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}",                 # phone number
-    r"[0-9]{3}-[0-9]{2}-[0-9]{4}",                               # social security number
-    r"[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}",          # card number
+def clean_length_at_least(text: Column, minimum: int) -> Column:
+    """Has the cleaned text that many characters?
+
+    A visible run of that length in the raw text settles it; only other texts
+    are cleaned for the test, since filters run before the projection.
+    """
+    visible = text.rlike(rf"[^\p{{Cntrl}}\s]{{{minimum}}}")
+    return visible | (F.length(clean_text(text)) >= minimum)
+
+
+def clean_bytes_at_most(text: Column, maximum: int) -> Column:
+    """Has the cleaned text at most that many bytes? Cleaning never makes a text longer."""
+    return (F.octet_length(text) <= maximum) | (F.octet_length(clean_text(text)) <= maximum)
+
+
+# What counts as personal data in a comment. Only the presence of a match
+# matters, so optional leading parts are left out of the patterns.
+EMAIL_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+NUMBER_PATTERN = (
+    r"[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}"                 # phone number
+    r"|[0-9]{3}-[0-9]{2}-[0-9]{4}"                           # social security number
+    r"|[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}"      # card number
 )
 
 
 def has_pii(text: Column) -> Column:
-    return F.coalesce(text.rlike("|".join(f"(?:{p})" for p in PII_PATTERNS)), F.lit(False))
+    """Does the text hold an e-mail address or one of the number formats?
+
+    The address pattern is tried only on texts with an ``@`` in them.
+    """
+    address = text.contains("@") & text.rlike(EMAIL_PATTERN)
+    return F.coalesce(address | text.rlike(NUMBER_PATTERN), F.lit(False))
 
 
 def needs_translation(language: Column, source: str = "spanish", codes: tuple[str, ...] = ("es",)) -> Column:

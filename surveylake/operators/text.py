@@ -12,7 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..channels import SMS_WEB_CHANNELS
-from ..functions.expressions import clean_text, has_pii, needs_translation, text_or_fallback
+from ..functions.expressions import (
+    clean_bytes_at_most,
+    clean_length_at_least,
+    clean_text,
+    has_pii,
+    needs_translation,
+    text_or_fallback,
+)
 from ..functions.grouping import first_by_hash
 
 MIN_TEXT_LENGTH = 3
@@ -21,6 +28,11 @@ MAX_RECORDS = 100_000
 MAX_TEXT_BYTES = 100_000
 
 
+def chosen_text(text: str, fallback: str | None = None) -> Column:
+    """The text to score. [choice] A blank text counts as missing and takes the fallback."""
+    return text_or_fallback(F.col(text), F.col(fallback)) if fallback else F.col(text)
+
+
 def clean_prep(
     df: DataFrame,
     record_id: str,
@@ -31,29 +43,34 @@ def clean_prep(
 ) -> DataFrame:
     """Record id, cleaned text, personal-data flag and translation flag.
 
-    Translation itself is an external service; rows that need it are only
-    marked. [choice] A blank text counts as missing and takes the fallback.
+    Translation itself is an external service; rows that need it are only marked.
     """
-    chosen = text_or_fallback(F.col(text), F.col(fallback)) if fallback else F.col(text)
+    raw = chosen_text(text, fallback)
     spoken = F.col(language) if language else F.lit(None).cast("string")
     return df.select(
         F.col(record_id).alias("record_id"),
-        clean_text(chosen).alias("customer_text_clean"),
-        has_pii(chosen).alias("has_pii"),
+        clean_text(raw).alias("customer_text_clean"),
+        has_pii(raw).alias("has_pii"),
         needs_translation(spoken).alias("needs_translation"),
         *metadata,
     )
 
 
-def scorable(df: DataFrame, min_length: int = MIN_TEXT_LENGTH, max_bytes: int = MAX_TEXT_BYTES) -> DataFrame:
-    """Texts long enough to score and within the size the scorer accepts."""
-    text = F.col("customer_text_clean")
-    return df.filter((F.length(text) >= min_length) & (F.octet_length(text) <= max_bytes))
+def scorable(
+    df: DataFrame,
+    text: str,
+    fallback: str | None = None,
+    min_length: int = MIN_TEXT_LENGTH,
+    max_bytes: int = MAX_TEXT_BYTES,
+) -> DataFrame:
+    """Raw rows whose cleaned text is long enough to score and within the size the scorer accepts."""
+    raw = chosen_text(text, fallback)
+    return df.filter(clean_length_at_least(raw, min_length) & clean_bytes_at_most(raw, max_bytes))
 
 
-def oversized(df: DataFrame, max_bytes: int = MAX_TEXT_BYTES) -> DataFrame:
-    """The texts skipped for their size."""
-    return df.filter(F.octet_length("customer_text_clean") > max_bytes)
+def oversized(df: DataFrame, text: str, fallback: str | None = None, max_bytes: int = MAX_TEXT_BYTES) -> DataFrame:
+    """The raw rows skipped for the size of their text."""
+    return df.filter(~clean_bytes_at_most(chosen_text(text, fallback), max_bytes))
 
 
 def record_cap(df: DataFrame, max_records: int = MAX_RECORDS, record_id: str = "record_id") -> DataFrame:

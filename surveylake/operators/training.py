@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import CountVectorizer, HashingTF, StringIndexer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scoring import FAMILIES, FAMILY_TOPICS, TOPICS, model_key
@@ -21,6 +21,7 @@ from .scoring import FAMILIES, FAMILY_TOPICS, TOPICS, model_key
 MIN_TEXT_LENGTH = 3
 MIN_NEW_RECORDS = 100
 RANDOM_SEED = 42
+FEATURES = 1 << 14
 
 # May a topic's training set use synthetic rows? (Sentiment had no trained model there; [choice] no.)
 SYNTHETIC_ALLOWED = {
@@ -70,18 +71,19 @@ def training_gate(corrected: DataFrame, last_trained_count: int, minimum: int =
     )
 
 
-def feature_model(texts: DataFrame, text: str = "customer_text_clean", features: int = 1 << 14) -> PipelineModel:
-    """The feature steps all topics share: words, hashed counts, inverse document frequency."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
-        IDF(inputCol="counts", outputCol="features"),
-    ]
-    return Pipeline(stages=stages).fit(texts)
+def words(text: Column) -> Column:
+    """Lower-case runs of letters and digits."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != "")
 
 
-def featurize(model: PipelineModel, texts: DataFrame) -> DataFrame:
-    return model.transform(texts).drop("words", "counts")
+def featurize(texts: DataFrame, text: str = "customer_text_clean", features: int = FEATURES) -> DataFrame:
+    """Add hashed word counts as ``features``.
+
+    Nothing is fitted, so one pass over the texts is enough; the classifiers
+    standardize the counts themselves.
+    """
+    hashing = HashingTF(inputCol="_words", outputCol="features", numFeatures=features)
+    return hashing.transform(texts.withColumn("_words", words(F.col(text)))).drop("_words")
 
 
 def train_topics(
@@ -118,13 +120,12 @@ def train_topics(
 
 def discover_topics(texts: DataFrame, text: str = "customer_text_clean", k: int = 8, terms: int = 10) -> DataFrame:
     """Topics found without labels, as weighted terms. [choice] LDA over the commonest words."""
-    words = RegexTokenizer(inputCol=text, outputCol="words", pattern=r"[^\p{L}\p{N}]+", minTokenLength=3)
-    counts = CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 13, minDF=2.0)
-    prepared = Pipeline(stages=[words, counts]).fit(texts)
+    tokens = texts.select(F.filter(words(F.col(text)), lambda word: F.length(word) >= 3).alias("words"))
+    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 13, minDF=2.0).fit(tokens)
     lda = LDA(k=k, seed=RANDOM_SEED, maxIter=10, optimizer="online")
-    model = lda.fit(prepared.transform(texts).select("features"))
+    model = lda.fit(counter.transform(tokens).select("features"))
     vocabulary = texts.sparkSession.createDataFrame(
-        list(enumerate(prepared.stages[-1].vocabulary)), "term_index int, term string"
+        list(enumerate(counter.vocabulary)), "term_index int, term string"
     )
     described = model.describeTopics(terms).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")))
     return described.select(

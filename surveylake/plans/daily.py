@@ -7,11 +7,11 @@ the writes. Rollups read the stored final tables afterwards.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ from ..operators.rollups import availability, cumulative_scores, daily_scores, m
 from ..schemas import curated_schema
 from ..sinks.tables import overwrite_partitions, replace_partitions, write_removed_csv, write_single_file
 from ..sinks.tracker import tracker_update, upsert_tracker
-from ..sources.tables import requested_dates, scan_lookup_csv, scan_partition
+from ..sources.tables import path_exists, requested_dates, scan_lookup_csv, scan_partition
 
 
 @dataclass(frozen=True)
@@ -87,24 +87,41 @@ def unified_responses(raw: Mapping[str, DataFrame], specs: Mapping[str, Channel]
 
 def score_history(spark: SparkSession, catalog: Catalog, channel: Channel) -> DataFrame | None:
     """Scores of a channel's stored final table, or None when it has never been written."""
-    try:
-        stored = spark.read.parquet(catalog.path("final", channel.name))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    root = catalog.path("final", channel.name)
+    if not path_exists(spark, root):
         return None
     scores = [F.col(c).alias(f"q{i}") for i, c in enumerate(channel.score_columns, start=1)]
-    return stored.select(F.lit(channel.name).alias("channel"), "event_date", *scores)
+    return spark.read.parquet(root).select(F.lit(channel.name).alias("channel"), "event_date", *scores)
 
 
 def _batch_counts(history: DataFrame | None, dates: list[date]) -> dict[date, int]:
     """Rows per requested date: one number per date of the run."""
-    if history is None:
+    if history is None or not dates:
         return {}
     counted = history.filter(F.col("event_date").isin(dates)).groupBy("event_date").count()
     return {row["event_date"]: row["count"] for row in counted.collect()}
 
 
+def process_channel(
+    spark: SparkSession, catalog: Catalog, channel: Channel, lookup: DataFrame, dates: list[date], as_of: date
+) -> list[tuple]:
+    """Write one channel's final, removed and daily-score tables; one report row per date."""
+    name = channel.name
+    raw = scan_partition(spark, catalog.curated_path(name), dates, curated_schema(channel))
+    before = _batch_counts(score_history(spark, catalog, channel), dates)
+    received = _batch_counts(raw, dates)
+    arrived = [d for d in dates if d in received]
+    replace_partitions(final_responses(raw, channel, lookup), catalog.path("final", name), arrived)
+    if arrived:
+        write_removed_csv(removed_responses(raw, channel), catalog.path("removed_records", name))
+    stored = score_history(spark, catalog, channel)
+    after = _batch_counts(stored, arrived)
+    if after:
+        run_scores = daily_scores(stored.filter(F.col("event_date").isin(list(after))), as_of)
+        overwrite_partitions(run_scores.drop("channel"), catalog.path("daily_scores", name))
+    return [(name, d, after.get(d, 0), before.get(d, 0), after.get(d, 0) > before.get(d, 0)) for d in dates]
+
+
 def run_daily(
     spark: SparkSession,
     catalog: Catalog,
@@ -115,31 +132,17 @@ def run_daily(
 ) -> DataFrame:
     """Process the dates (by default those of the control file) for the given channels.
 
-    Returns the new-records report. Running it again with the same input leaves
-    every table as it was.
+    Channels do not depend on each other, so their jobs are submitted side by
+    side. Returns the new-records report. Running it again with the same input
+    leaves every table as it was.
     """
     specs = specs or channel_specs()
     dates = list(dates) if dates is not None else requested_dates(spark, catalog.control)
     channels = list(channels)
     lookup = scan_lookup_csv(spark, catalog.lookup)
-
-    report = []
-    for name in channels:
-        spec = specs[name]
-        raw = scan_partition(spark, catalog.curated_path(name), dates, curated_schema(spec))
-        before = _batch_counts(score_history(spark, catalog, spec), dates)
-        arrived = [d for d in dates if d in _batch_counts(raw, dates)]
-        final = catalog.path("final", name)
-        # A date whose rows are all filtered out must not keep the rows of an earlier run.
-        replace_partitions(final_responses(raw, spec, lookup), final, arrived)
-        write_removed_csv(removed_responses(raw, spec), catalog.path("removed_records", name))
-        stored = score_history(spark, catalog, spec)
-        after = {d: n for d, n in _batch_counts(stored, dates).items() if d in arrived}
-        report += [(name, d, after.get(d, 0), before.get(d, 0), after.get(d, 0) > before.get(d, 0)) for d in dates]
-        if after:
-            run_scores = daily_scores(stored.filter(F.col("event_date").isin(list(after))), as_of)
-            overwrite_partitions(run_scores.drop("channel"), catalog.path("daily_scores", name))
-
+    with ThreadPoolExecutor(max_workers=len(CHANNEL_NAMES)) as pool:
+        done = pool.map(lambda n: process_channel(spark, catalog, specs[n], lookup, dates, as_of), channels)
+        report = [row for rows in done for row in rows]
     write_rollups(spark, catalog, specs, as_of)
     new_records = spark.createDataFrame(
         report, "channel string, event_date date, new_count bigint, existing_count bigint, new_records_found boolean"
@@ -156,9 +159,12 @@ def run_availability(new_records: DataFrame) -> DataFrame:
 
 def write_rollups(spark: SparkSession, catalog: Catalog, specs: Mapping[str, Channel], as_of: date) -> None:
     """Cumulative and monthly scores of every channel with history, whatever this run processed."""
-    for name, spec in specs.items():
+
+    def write(spec: Channel) -> None:
         history = score_history(spark, catalog, spec)
-        if history is None:
-            continue
-        write_single_file(cumulative_scores(history, as_of), f"{catalog.path('aggregate', name)}.parquet")
-        write_single_file(monthly_yago(history, as_of), f"{catalog.path('monthly_yago', name)}.parquet")
+        if history is not None:
+            write_single_file(cumulative_scores(history, as_of), f"{catalog.path('aggregate', spec.name)}.parquet")
+            write_single_file(monthly_yago(history, as_of), f"{catalog.path('monthly_yago', spec.name)}.parquet")
+
+    with ThreadPoolExecutor(max_workers=len(CHANNEL_NAMES)) as pool:
+        list(pool.map(write, specs.values()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,16 +31,15 @@ def prepare(final: DataFrame, channel: Channel, max_records: int | None = None)
     """
     language = channel.language_column if channel.language_column in final.columns else None
     fallback = channel.fallback_text_column if channel.fallback_text_column in final.columns else None
-    cleaned = clean_prep(final, "contact_record_id", channel.text_column, fallback, language)
-    texts = scorable(cleaned).withColumn("model_family", model_family(F.lit(channel.name)))
+    usable = scorable(final, channel.text_column, fallback)
+    cleaned = clean_prep(usable, "contact_record_id", channel.text_column, fallback, language)
+    texts = cleaned.withColumn("model_family", model_family(F.lit(channel.name)))
     return texts if max_records is None else record_cap(texts, max_records)
 
 
-def score(
-    texts: DataFrame, features: PipelineModel, models: Mapping[str, tuple[Transformer, list[str]]]
-) -> DataFrame:
+def score(texts: DataFrame, models: Mapping[str, tuple[Transformer, list[str]]]) -> DataFrame:
     """Topic labels and confidences per record; map-only over the texts."""
-    scored = withhold_level3(score_topics(featurize(features, texts), models))
+    scored = withhold_level3(score_topics(featurize(texts), models))
     return scored.select("record_id", *TOPICS, *[confidence(t) for t in TOPICS])
 
 

@@ -62,15 +62,21 @@ def write_removed_csv(df: DataFrame, root: str) -> None:
 def write_single_file(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """One file at exactly ``target``, for results of known small size.
 
-    The size is checked first; a larger result belongs in a folder of parts
+    A larger result is refused, never cut; it belongs in a folder of parts
     (``write_parts``). The file is written beside the target under a name of its
     own run and then moved, so concurrent runs do not meet.
     """
-    if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for one file; use write_parts")
     spark = df.sparkSession
     staging = f"{target}.tmp-{uuid.uuid4().hex}"
-    df.coalesce(1).write.option("header", True).format(fmt).save(staging)
+    # One row past the limit is enough to know; the result is computed once.
+    bounded = df.limit(SINGLE_FILE_ROWS + 1)
+    seen = Observation()
+    counted = bounded.coalesce(1).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.option("header", True).format(fmt).save(staging)
+    if seen.get["rows"] > SINGLE_FILE_ROWS:
+        fs, staged = _hadoop(spark, staging)
+        fs.delete(staged, True)
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for one file; use write_parts")
     fs, staged = _hadoop(spark, staging)
     parts = [s.getPath() for s in fs.listStatus(staged) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,22 +12,19 @@ from pyspark.sql.types import StructType
 from ..schemas import INTENT_MAP
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def scan_table(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """A partitioned table, or an empty frame when its folder does not exist.
 
     Only a missing path counts as "not available"; any other failure is raised.
     """
-    try:
-        return spark.read.schema(schema).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, root):
         return spark.createDataFrame([], schema)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    return spark.read.schema(schema).parquet(root)
 
 
 def scan_partition(
@@ -41,7 +37,7 @@ def scan_partition(
     none at all the result is an empty frame of the given schema.
     """
     folders = [f"{root}/{column}={d}" for d in dict.fromkeys(str(d) for d in dates)]
-    present = [f for f in folders if _exists(spark, f)]
+    present = [f for f in folders if path_exists(spark, f)]
     if not present:
         return spark.createDataFrame([], schema)
     return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*present)
