@@ -11,11 +11,14 @@ from surveylake.operators.corrections import (
     RANDOM_SEED,
     apply_corrections,
     combine_corrections,
+    consolidate_runs,
     correction_metrics,
+    correction_summary,
     dashboard_trimmed,
     dashboard_union,
     low_confidence,
     reprocess_batches,
+    reprocess_gate,
     write_batches,
 )
 from surveylake.operators.scoring import (
@@ -448,3 +451,47 @@ def _copy_report(spark, folder):
     results, _ = _copied(spark, folder)
     failures = copy_failures(results).agg(F.count(F.lit(1))).scalar()
     return copy_report(results).withColumn("reported_failures", failures)
+
+
+# --- reprocessing reports -----------------------------------------------------------------
+
+
+@query(
+    "reprocess_gate",
+    f"""{LOW_CTE} SELECT count(*) AS total_low_confidence_records,
+    CAST(least(ceil(count(*) / {BATCH_SIZE}), {MAX_BATCHES}) AS INTEGER) AS batch_count, count(*) > 0 AS run FROM low""",
+)
+def _reprocess_gate(spark, folder):
+    return reprocess_gate(low(spark, folder))
+
+
+@query(
+    "correction_summary",
+    f"""{LOW_CTE}, {OUTPUTS_SQL},
+    joined AS (SELECT c.record_id IS NOT NULL AS corrected,
+                      {", ".join(f"c.{t} IS NOT NULL AND c.{t} IS DISTINCT FROM p.{t} AS {t}" for t in TOPICS)}
+               FROM predictions p LEFT JOIN corrections c USING (record_id)),
+    names AS (SELECT list_filter([{", ".join(f"CASE WHEN bool_or({t}) THEN '{t}' END" for t in TOPICS)}],
+                                 lambda x: x IS NOT NULL) AS n FROM joined)
+    SELECT count(*) AS all_columns_rows, count(*) FILTER (WHERE corrected) AS corrected_rows,
+           count(*) FILTER (WHERE {" OR ".join(TOPICS)}) AS records_replaced,
+           CAST(len(any_value(n)) AS INTEGER) AS updated_column_count,
+           array_to_string(any_value(n), ',') AS updated_columns
+    FROM joined, names""",
+)
+def _correction_summary(spark, folder):
+    return correction_summary(predictions(spark, folder), combine_corrections(outputs(spark, folder)))
+
+
+@query(
+    "consolidate_runs",
+    f"""{LOW_CTE}, {OUTPUTS_SQL},
+    runs AS (SELECT record_id, {", ".join(TOPICS)}, 'run-1' AS run_id FROM predictions
+             UNION ALL SELECT record_id, {", ".join(TOPICS)}, 'run-2' FROM corrections)
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY run_id DESC) = 1""",
+)
+def _consolidate_runs(spark, folder):
+    """The first run covers every record, the second those that were corrected."""
+    first = dashboard_trimmed(predictions(spark, folder)).withColumn("run_id", F.lit("run-1"))
+    second = combine_corrections(outputs(spark, folder)).withColumn("run_id", F.lit("run-2"))
+    return consolidate_runs(first.unionByName(second))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,3 +99,8 @@ def content_hash(df: DataFrame, exclude: Iterable[str] = ()) -> Column:
     """A tie-break over all columns: rows that share it are interchangeable."""
     skip = set(exclude)
     return F.xxhash64(*[F.col(f"`{name}`") for name in df.columns if name not in skip])
+
+
+def only_dates(df: DataFrame, dates: Iterable[date | str], column: str = "event_date") -> DataFrame:
+    """Rows of the given dates; on a partition column this prunes the scan."""
+    return df.filter(F.col(column).isin([F.lit(str(d)).cast("date") for d in dates]))

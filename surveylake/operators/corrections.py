@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.expressions import content_hash
 from ..functions.grouping import first_by_hash
 from .scoring import CONFIDENCE_THRESHOLDS, TOPICS, confidence
 
@@ -40,7 +41,18 @@ def low_confidence(
     low = predictions.withColumn("low_topics", low_topics(thresholds)).filter(F.size("low_topics") > 0)
     if reviewed is None:
         return low
-    return low.join(reviewed.select(record_id).distinct(), record_id, "left_anti")
+    return low.join(reviewed.select(record_id), record_id, "left_anti")
+
+
+def reprocess_gate(low: DataFrame, batch_size: int = BATCH_SIZE, max_batches: int = MAX_BATCHES) -> DataFrame:
+    """How many records are low, how many batches the run makes of them, and whether there is one at all."""
+    batches = F.least(F.ceil(F.col("total_low_confidence_records") / batch_size), F.lit(max_batches))
+    counted = low.agg(F.count(F.lit(1)).alias("total_low_confidence_records"))
+    return counted.select(
+        "total_low_confidence_records",
+        batches.cast("int").alias("batch_count"),
+        (F.col("total_low_confidence_records") > 0).alias("run"),
+    )
 
 
 def reprocess_batches(
@@ -64,7 +76,7 @@ def reprocess_batches(
 
 def write_batches(batches: DataFrame, root: str) -> None:
     """JSON lines, one folder per batch."""
-    batches.repartition("batch_index").write.mode("overwrite").partitionBy("batch_index").json(root)
+    batches.hint("rebalance", "batch_index").write.mode("overwrite").partitionBy("batch_index").json(root)
 
 
 def combine_corrections(outputs: DataFrame, record_id: str = "record_id", version: str = "batch_index") -> DataFrame:
@@ -110,6 +122,37 @@ def correction_metrics(
     return joined.agg(*counts).select(F.inline(F.array(*fixed)))
 
 
+def correction_summary(
+    predictions: DataFrame, corrections: DataFrame, record_id: str = "record_id", topics: Sequence[str] = TOPICS
+) -> DataFrame:
+    """One row: rows, corrected rows, rows replaced by a different value, and the columns that changed."""
+    fixed = [t for t in topics if t in corrections.columns]
+    joined = predictions.alias("p").join(
+        corrections.select(record_id, *fixed).alias("c"), F.col(f"p.{record_id}") == F.col(f"c.{record_id}"), "left"
+    )
+    changed = {t: F.col(f"c.{t}").isNotNull() & ~F.col(f"c.{t}").eqNullSafe(F.col(f"p.{t}")) for t in fixed}
+    counted = joined.agg(
+        F.count(F.lit(1)).alias("all_columns_rows"),
+        F.count(f"c.{record_id}").alias("corrected_rows"),
+        F.count_if(reduce(lambda a, b: a | b, changed.values())).alias("records_replaced"),
+        *[F.max(flag).alias(f"_{t}") for t, flag in changed.items()],
+    )
+    names = F.array_compact(F.array(*[F.when(F.col(f"_{t}"), F.lit(t)) for t in fixed]))
+    return counted.select(
+        "all_columns_rows",
+        "corrected_rows",
+        "records_replaced",
+        F.size(names).alias("updated_column_count"),
+        F.array_join(names, ",").alias("updated_columns"),
+    )
+
+
+def consolidate_runs(outputs: DataFrame, record_id: str = "record_id", run: str = "run_id") -> DataFrame:
+    """The outputs of several runs as one table, one row per record. [choice] The latest run wins."""
+    latest = W.partitionBy(record_id).orderBy(F.col(run).desc(), content_hash(outputs))
+    return outputs.withColumn("_n", F.row_number().over(latest)).filter(F.col("_n") == 1).drop("_n")
+
+
 def dashboard_trimmed(final: DataFrame, extra: Sequence[str] = (), record_id: str = "record_id") -> DataFrame:
     """The dashboard's columns: id, the six topics and what the caller adds."""
     return final.select(record_id, *extra, *TOPICS)

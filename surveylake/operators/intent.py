@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import match_key
 
+MatchKey = Callable[[Column], Column]
+
 
-def clean_intent_map(lookup: DataFrame) -> DataFrame:
+def clean_intent_map(lookup: DataFrame, key: MatchKey = match_key) -> DataFrame:
     """One row per cleaned old intent.
 
     Several rows for one key are settled by the smallest mapped value, so the
@@ -17,25 +21,26 @@ def clean_intent_map(lookup: DataFrame) -> DataFrame:
     """
     return (
         lookup.filter(F.col("old_intent").isNotNull())
-        .groupBy(match_key(F.col("old_intent")).alias("_intent_key"))
+        .groupBy(key(F.col("old_intent")).alias("_intent_key"))
         .agg(F.min(F.lower(F.trim("new_intent"))).alias("_mapped_intent"))
     )
 
 
-def _with_mapping(df: DataFrame, lookup: DataFrame) -> DataFrame:
+def _with_mapping(df: DataFrame, lookup: DataFrame, key: MatchKey) -> DataFrame:
     # No broadcast is forced: Spark broadcasts the lookup while its size is under
     # the session's threshold and shuffles, splitting hot intents, beyond it.
-    keyed = df.withColumn("_intent_key", match_key(F.col("intent")))
-    return keyed.join(clean_intent_map(lookup), "_intent_key", "left")
+    keyed = df.withColumn("_intent_key", key(F.col("intent")))
+    return keyed.join(clean_intent_map(lookup, key), "_intent_key", "left")
 
 
-def map_intent(df: DataFrame, lookup: DataFrame) -> DataFrame:
+def map_intent(df: DataFrame, lookup: DataFrame, key: MatchKey = match_key) -> DataFrame:
     """Replace ``intent`` by its mapped value.
 
     Mapped values are lower case; unmapped intents stay as they were. Unlike the
-    earlier jobs, the lookup's own columns do not leak into the result.
+    earlier jobs, the lookup's own columns do not leak into the result. ``key``
+    is the rule both sides are matched by (``loose_match_key`` is the earlier one).
     """
-    mapped = _with_mapping(df, lookup)
+    mapped = _with_mapping(df, lookup, key)
     return mapped.select(
         *[
             F.coalesce("_mapped_intent", "intent").alias("intent") if c == "intent" else F.col(f"`{c}`")
@@ -47,7 +52,7 @@ def map_intent(df: DataFrame, lookup: DataFrame) -> DataFrame:
 def intent_match_rate(df: DataFrame, lookup: DataFrame, *by: str) -> DataFrame:
     """Rows, matched, unmatched and percent matched (0 for no rows), optionally per group."""
     counted = (
-        _with_mapping(df.select("intent", *by), lookup)
+        _with_mapping(df.select("intent", *by), lookup, match_key)
         .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("total_count"), F.count("_mapped_intent").alias("matched_count"))
     )

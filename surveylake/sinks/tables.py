@@ -93,17 +93,19 @@ def write_parts(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").option("header", True).format(fmt).save(folder)
 
 
-def export_csv(spark: SparkSession, source: str, target: str, single_file: bool = False) -> None:
-    """A parquet file or folder as CSV with a header row.
+def export_csv(spark: SparkSession, source: str, target: str, single_file: bool = False) -> tuple[int, int]:
+    """A parquet file or folder as CSV with a header row; returns the rows and columns written.
 
     By default a folder of parts, written in parallel; one file at an exact path
     only for results that fit one.
     """
-    df = spark.read.parquet(source)
+    seen = Observation()
+    df = spark.read.parquet(source).observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         write_single_file(df, target, "csv")
     else:
         write_parts(df, target, "csv")
+    return int(seen.get["rows"]), len(df.columns)
 
 
 def csv_name(key: str, prefix: str = "") -> str | None:

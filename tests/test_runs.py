@@ -235,3 +235,35 @@ def test_text_run_pieces(spark, small):
     from datetime import datetime
 
     assert run_name("ivr", datetime(2026, 1, 2, 3, 4, 5)) == "ivr-inference-2026-01-02-03-04-05"
+
+
+def test_load_modes(spark):
+    from surveylake.operators.incremental import rows_to_load
+
+    days = [date(2026, 1, d) for d in (1, 2, 3)]
+    source = spark.createDataFrame([(d,) for d in days], "event_date date")
+    loaded = source.filter(F.col("event_date") == days[0])
+    assert rows_to_load(source, loaded).count() == 2
+    assert rows_to_load(source, loaded, "APPEND_MISSING", days[:2]).count() == 1
+    assert rows_to_load(source, loaded, "FULL_REPLACE").count() == 3
+    with pytest.raises(ValueError):
+        rows_to_load(source, loaded, "OTHER")
+
+
+def test_training_run_moves_its_baseline(spark, small):
+    from checks.adapters import texts
+    from surveylake.operators.scoring import TOPICS
+    from surveylake.plans.training_run import last_trained_count, run_training
+
+    folder = scratch_path(spark, "training")
+    base = texts(spark, small).filter("labelled").select("record_id", "text", "channel", *TOPICS)
+    base = base.withColumn("is_synthetic", F.lit(False))
+    corrected = base.filter("is_actionable = 'true'")
+    n = corrected.count()
+    gate, metrics = run_training(spark, base, corrected, folder, minimum=n + 1)
+    assert gate.first().instruction == "SKIP" and metrics is None
+    gate, metrics = run_training(spark, base, corrected, folder, minimum=n)
+    assert gate.first().should_train and metrics.filter("topic = 'is_actionable'").count() == 2
+    assert last_trained_count(spark, f"{folder}/training_record_baseline") == n
+    gate, _ = run_training(spark, base, corrected, folder, minimum=1)
+    assert gate.first().new_records_since_training == 0 and gate.first().instruction == "SKIP"
