@@ -267,3 +267,16 @@ def test_training_run_moves_its_baseline(spark, small):
     assert last_trained_count(spark, f"{folder}/training_record_baseline") == n
     gate, _ = run_training(spark, base, corrected, folder, minimum=1)
     assert gate.first().new_records_since_training == 0 and gate.first().instruction == "SKIP"
+
+
+def test_date_emptied_by_a_later_run_loses_its_partition(spark):
+    root = scratch_path(spark, "emptied")
+    schema = "event_date date, campaign string, v int"
+    day = date(2026, 1, 1)
+    replace_partitions(spark.createDataFrame([(day, "Main", 1)], schema), root, [day])
+    assert spark.read.schema(schema).parquet(root).count() == 1
+    from surveylake.functions.grouping import keep_first
+
+    gone = spark.createDataFrame([(day, "Other", 1)], schema).filter("campaign = 'Main'")
+    replace_partitions(keep_first(gone, ["event_date"], F.struct("v")), root, [day])
+    assert not Path(f"{root.removeprefix('file:')}/event_date={day}").exists()

@@ -120,3 +120,32 @@ def test_responses_without_account_spread_in_the_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(sizes) == 1000 and max(sizes) < 300
+
+
+def test_hot_group_is_split_at_run_time(spark):
+    """With a third of the rows in one group, the join's hot partition is read in several pieces."""
+    rows = spark.range(0, 200_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50_000).alias("k"),
+        F.col("id").alias("a"),
+        F.sha2(F.col("id").cast("string"), 256).alias("b"),
+    )
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        removed = not_first(rows, ["k"], F.struct("a", "b"))
+        removed.write.format("noop").mode("overwrite").save()
+        counted = removed.groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in counted.collect()]
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+        hot = 66_667
+        assert sum(sizes) == 200_000 - 50_000 - 1 and max(sizes) < hot / 2
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
