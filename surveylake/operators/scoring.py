@@ -63,16 +63,21 @@ def withhold_level3(df: DataFrame, threshold: float = LEVEL3_CONFIDENCE_THRESHOL
 def score_topics(
     featured: DataFrame, models: Mapping[str, tuple[Transformer, list[str]]], family: str = "model_family"
 ) -> DataFrame:
-    """Score all topics, each row with the models of its family.
+    """Score every topic that has a model, each row with the models of its family.
 
-    Rows are split by family so that every row passes each of its models once.
+    Rows are split by family so that every row passes each of its models once. A
+    family without a model for a topic gets NULLs there.
     """
+    topics = [t for t in TOPICS if any(model_key(t, f) in models for f in FAMILIES)]
 
     def scored(name: str) -> DataFrame:
         part = featured.filter(F.col(family) == name)
-        for topic in TOPICS:
+        for topic in topics:
             if model_key(topic, name) in models:
                 part = score_topic(part, topic, *models[model_key(topic, name)])
+            else:
+                empty = {topic: F.lit(None).cast("string"), confidence(topic): F.lit(None).cast("double")}
+                part = part.withColumns(empty)
         return part
 
     return reduce(DataFrame.unionByName, [scored(name) for name in FAMILIES])

@@ -113,7 +113,7 @@ def process_channel(
     arrived = [d for d in dates if d in received]
     replace_partitions(final_responses(raw, channel, lookup), catalog.path("final", name), arrived)
     if arrived:
-        write_removed_csv(removed_responses(raw, channel), catalog.path("removed_records", name))
+        write_removed_csv(removed_responses(raw, channel), catalog.path("removed_records", name), arrived)
     stored = score_history(spark, catalog, channel)
     after = _batch_counts(stored, arrived)
     if after:

@@ -16,22 +16,21 @@ def _hadoop(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def overwrite_partitions(df: DataFrame, root: str, by: Sequence[str] = ("event_date",)) -> None:
+def overwrite_partitions(
+    df: DataFrame, root: str, by: Sequence[str] = ("event_date",), fmt: str = "parquet"
+) -> None:
     """Replace the partitions the frame carries; other partitions stay.
 
     The rebalance collects each partition's rows into few files and splits a
     partition that is too large for one task.
     """
-    (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(root)
-    )
+    writer = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("header", True).partitionBy(*by).format(fmt).save(root)
 
 
-def replace_partitions(df: DataFrame, root: str, values: Sequence[object], column: str = "event_date") -> None:
+def replace_partitions(
+    df: DataFrame, root: str, values: Sequence[object], column: str = "event_date", fmt: str = "parquet"
+) -> None:
     """Replace the partitions named in ``values``, also those for which the frame has no row left.
 
     Which of them stay empty is counted in the same pass as the write.
@@ -40,23 +39,23 @@ def replace_partitions(df: DataFrame, root: str, values: Sequence[object], colum
         return
     seen = Observation()
     counts = [F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in values]
-    overwrite_partitions(df.observe(seen, *counts), root, [column])
+    overwrite_partitions(df.observe(seen, *counts), root, [column], fmt)
     for value in values:
         if seen.get[str(value)] == 0:
             fs, folder = _hadoop(df.sparkSession, f"{root}/{column}={value}")
             fs.delete(folder, True)
 
 
-def write_removed_csv(df: DataFrame, root: str) -> None:
-    """Removed-records report: CSV with header, one folder per date, none for dates without removals."""
-    (
-        df.hint("rebalance", "removed_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .partitionBy("removed_date")
-        .csv(root)
-    )
+def write_removed_csv(df: DataFrame, root: str, dates: Sequence[object] = ()) -> None:
+    """Removed-records report: CSV with header, one folder per date, none for dates without removals.
+
+    ``dates`` names the dates of the run, so that one without removals loses an
+    earlier run's report.
+    """
+    if dates:
+        replace_partitions(df, root, dates, "removed_date", "csv")
+    else:
+        overwrite_partitions(df, root, ["removed_date"], "csv")
 
 
 def write_single_file(df: DataFrame, target: str, fmt: str = "parquet") -> None:
