@@ -470,4 +470,4 @@ def _enrich_all(spark, folder):
 
 
 # Queries whose join sides grow with the tables; tests run them without any broadcast too.
-QUERY_NAMES_WITH_JOINS = ("dedup_removed", "intent_mapping", "enrich_all", "append_missing")
+QUERY_NAMES_WITH_JOINS = ("dedup_removed", "intent_mapping", "enrich_all", "append_missing_records")

@@ -40,41 +40,32 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
-def group_summary(df: DataFrame, keys: Sequence[str], rank: Column, carry: Sequence[str]) -> DataFrame:
-    """One row per key with more than one row: the survivor's rank and carried columns.
-
-    ``rank`` orders ascending. The aggregation combines map-side, so a hot group
-    costs one row per map task.
-    """
-    survivor = F.min(F.struct(rank.alias("rank"), *[F.col(c) for c in carry]))
-    return (
-        df.groupBy(*keys)
-        .agg(survivor.alias("_survivor"), F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > 1)
-    )
-
-
 def not_first(df: DataFrame, keys: Sequence[str], rank: Column, carry: Sequence[str] = ()) -> DataFrame:
     """All rows ``keep_first`` drops, with the survivor's ``carry`` columns as ``_kept_<name>``.
 
     ``rank`` must be the one given to ``keep_first`` and cover every column of
-    this frame that is not a key. Rows behind the survivor then come straight
-    from the join with the summary. Rows equal to it are copies: they are
-    counted before any join, and all but one of them are written out again.
+    this frame that is not a key. The table is read and shuffled once, as
+    distinct rows with the number of their copies; copies and hot groups combine
+    map-side. One summary row per duplicated group, taken from the same shuffle,
+    is joined to the distinct rows. All copies are written out again, but for
+    one of the survivor.
     """
-    columns = df.columns
-    work = df.withColumn("_rank", rank)
-    summary = group_summary(work, keys, F.col("_rank"), carry)
-    kept = [F.col(f"g._survivor.`{c}`").alias(f"_kept_{c}") for c in carry]
-    rows = [F.col(f"r.`{c}`") for c in columns]
-    same_group = same_keys("r", "g", keys)
-    is_survivor = F.col("r._rank") == F.col("g._survivor.rank")
-
-    behind = work.alias("r").join(summary.alias("g"), same_group & ~is_survivor).select(*rows, *kept)
-    copied = work.groupBy(*[f"`{c}`" for c in work.columns]).agg((F.count(F.lit(1)) - 1).alias("_copies"))
-    copied = copied.filter(F.col("_copies") > 0).alias("r")
-    copies = copied.join(summary.alias("g"), same_group & is_survivor).select(*rows, *kept, "r._copies")
-    return behind.unionByName(repeat_rows(copies, "_copies"))
+    columns = [f"`{c}`" for c in df.columns]
+    distinct = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_rank", rank)
+    survivor = F.min(F.struct(F.col("_rank").alias("rank"), *carry)).alias("_survivor")
+    groups = distinct.groupBy(*keys).agg(survivor, F.sum("_copies").alias("_rows")).filter(F.col("_rows") > 1)
+
+    def dropped(rows: DataFrame) -> DataFrame:
+        joined = rows.alias("r").join(groups.alias("g"), same_keys("r", "g", keys))
+        kept = (F.col("r._rank") == F.col("g._survivor.rank")).cast("bigint")
+        return joined.select(
+            *[F.col(f"r.{c}") for c in columns],
+            *[F.col(f"g._survivor.`{c}`").alias(f"_kept_{c}") for c in carry],
+            (F.col("r._copies") - kept).alias("_copies"),
+        ).filter(F.col("_copies") > 0)
+
+    once = dropped(distinct.filter(F.col("_copies") == 1)).drop("_copies")
+    return once.unionByName(repeat_rows(dropped(distinct.filter(F.col("_copies") > 1)), "_copies"))
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:
