@@ -63,7 +63,7 @@ cleaned AS (
 
 
 def cleaned(spark, folder, *metadata):
-    """Cleaned texts of scorable size."""
+    """Cleaned texts long enough to score."""
     usable = scorable(texts(spark, folder), "text", "source")
     return clean_prep(usable, "record_id", "text", "source", "lang", metadata)
 
@@ -72,7 +72,7 @@ def cleaned(spark, folder, *metadata):
     "clean_prep",
     f"""WITH {TEXTS_SQL}, {CLEANED_SQL}
     SELECT record_id, customer_text_clean, has_pii, needs_translation FROM cleaned
-    WHERE length(customer_text_clean) >= 3 AND strlen(customer_text_clean) <= 100000""",
+    WHERE length(customer_text_clean) >= 3""",
 )
 def _clean_prep(spark, folder):
     return cleaned(spark, folder)
@@ -96,7 +96,7 @@ def _pii_flag(spark, folder):
 def _text_sizes(spark, folder):
     """How many texts a scorer with a limit of 20000 bytes would skip."""
     t = texts(spark, folder)
-    large = oversized(t, "text", "source", 20_000).groupBy("channel").agg(F.count(F.lit(1)).alias("oversized"))
+    large = oversized(t, "text", 20_000, "source").groupBy("channel").agg(F.count(F.lit(1)).alias("oversized"))
     every = t.groupBy("channel").agg(F.count(F.lit(1)).alias("texts"))
     return every.join(large, "channel", "left").withColumn("oversized", F.coalesce("oversized", F.lit(0)))
 

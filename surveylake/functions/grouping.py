@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 
 def latest_first(when: Column) -> Column:
-    """Ascending rank that puts the latest time first and NULL last."""
-    return F.coalesce(-F.unix_micros(when.cast("timestamp")), F.lit(2**63 - 1))
+    """Ascending rank that puts the latest time first; NULL and what is no time come last."""
+    return F.coalesce(-F.unix_micros(when.try_cast("timestamp")), F.lit(2**63 - 1))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], rank: Column, *ties: Column) -> DataFrame:

@@ -29,8 +29,10 @@ CASE_1, CASE_2, CASE_3 = "DEDUP_CASE_1", "DEDUP_CASE_2", "DEDUP_CASE_3"
 
 def _rank(df: DataFrame) -> Column:
     """Latest response first, then the smallest id, then the other report columns."""
-    others = [c for c in ("contact_record_id", "customer_account_number", "cas_account_number") if c in df.columns]
-    return F.struct(latest_first(F.col("response_received_date")).alias("recency"), *others)
+    order = ("contact_record_id", "response_received_date", "customer_account_number", "cas_account_number")
+    return F.struct(
+        latest_first(F.col("response_received_date")).alias("recency"), *[c for c in order if c in df.columns]
+    )
 
 
 def _report_frame(df: DataFrame, batch: Sequence[str], extra: Sequence[str]) -> DataFrame:

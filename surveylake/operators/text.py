@@ -24,8 +24,6 @@ from ..functions.grouping import first_by_hash
 
 MIN_TEXT_LENGTH = 3
 MAX_RECORDS = 100_000
-# [choice] The largest text a scoring call takes, in bytes; larger texts are skipped, never cut.
-MAX_TEXT_BYTES = 100_000
 
 
 def chosen_text(text: str, fallback: str | None = None) -> Column:
@@ -61,15 +59,20 @@ def scorable(
     text: str,
     fallback: str | None = None,
     min_length: int = MIN_TEXT_LENGTH,
-    max_bytes: int = MAX_TEXT_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Raw rows whose cleaned text is long enough to score and within the size the scorer accepts."""
+    """Raw rows whose cleaned text is long enough to score.
+
+    ``max_bytes`` skips larger texts, for a scorer with a size limit; the models
+    here have none, so by default texts of any size pass. Texts are never cut.
+    """
     raw = chosen_text(text, fallback)
-    return df.filter(clean_length_at_least(raw, min_length) & clean_bytes_at_most(raw, max_bytes))
+    long_enough = clean_length_at_least(raw, min_length)
+    return df.filter(long_enough if max_bytes is None else long_enough & clean_bytes_at_most(raw, max_bytes))
 
 
-def oversized(df: DataFrame, text: str, fallback: str | None = None, max_bytes: int = MAX_TEXT_BYTES) -> DataFrame:
-    """The raw rows skipped for the size of their text."""
+def oversized(df: DataFrame, text: str, max_bytes: int, fallback: str | None = None) -> DataFrame:
+    """The raw rows a limit on the size of texts would skip."""
     return df.filter(~clean_bytes_at_most(chosen_text(text, fallback), max_bytes))
 
 

@@ -147,7 +147,7 @@ def refresh_jdbc_table(df: DataFrame, url: str, table: str, properties: dict[str
 
 def refresh_saved_table(df: DataFrame, schema: str, table: str, folder: str) -> None:
     """Full refresh of a catalog table."""
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{folder}/{schema}'")
     df.write.mode("overwrite").option("path", f"{folder}/{schema}/{table}").saveAsTable(f"`{schema}`.`{table}`")
 
 

@@ -236,3 +236,24 @@ def test_api_channels_normalize_in_place(spark):
     assert (row.q1_satisfaction_value, row.q2_effort_value, row.q3_overall_satisfaction) == (4.0, None, 3.0)
     assert row["how_would_you_rate_your_overall_satisfaction_with_this_visit"] == 4.0
     assert row.q3_overall_satisfaction_value == "3"
+
+
+def test_dates_that_are_text_lose_no_row(spark):
+    rows = [("1", "a", "2026-01-02", "x"), ("1", "a", "soon", "x"), ("1", "a", "late", "x"), ("0", "a", None, "x")]
+    df = spark.createDataFrame(
+        [(D(2026, 1, 5), *r) for r in rows],
+        "event_date date, contact_record_id string, cas_account_number string, response_received_date string, comment string",
+    )
+    kept = dedup_by_comment(df, F.col("comment")).collect()
+    removed = removed_by_comment(df, F.col("comment")).collect()
+    assert [r.response_received_date for r in kept] == ["2026-01-02"] and len(removed) == 3
+
+
+def test_text_size_limit_is_optional(spark):
+    from surveylake.operators.text import oversized, scorable
+
+    df = spark.createDataFrame([("ab",), ("abc",), ("x" * 50,), (" " * 60 + "abcd",), (None,)], "text string")
+    assert scorable(df, "text").count() == 3
+    assert scorable(df, "text", max_bytes=20).count() == 2
+    assert oversized(df, "text", 20).count() == 1
+    assert scorable(spark.createDataFrame([("a b c",)], "text string"), "text").count() == 1
