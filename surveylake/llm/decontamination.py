@@ -40,11 +40,13 @@ def shingle_rows(rows: DataFrame, width: int = SHINGLE) -> DataFrame:
     words = F.filter(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     filled = F.concat("_words", F.array_repeat(F.lit(""), F.greatest(F.lit(width) - F.size("_words"), F.lit(0))))
     n = F.size("_filled") - (width - 1)
-    cut = rows.withColumn("_words", words).filter(F.size("_words") > 0).withColumn("_filled", filled)
+    cut = rows.withColumn("_words", words).withColumn("_filled", filled)
     names = shingle_columns(width)
     zipped = F.arrays_zip(*[F.slice("_filled", F.lit(i + 1), n).alias(name) for i, name in enumerate(names)])
     others = [c for c in rows.columns if c != "text"]
-    return cut.select(*others, F.explode(zipped).alias("_s")).select(*others, *[F.col(f"_s.{c}") for c in names])
+    # Texts without words are told by their first column, after the fact: a filter on the words would cut every text twice.
+    exploded = cut.select(*others, F.explode(zipped).alias("_s"))
+    return exploded.select(*others, *[F.col(f"_s.{c}") for c in names]).filter("s1 <> ''")
 
 
 def shingle_columns(width: int = SHINGLE) -> list[str]:
