@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm import chat, decontamination, mixing, quality, sharding, simhash, token_blocks
+from surveylake.llm import (
+    chat,
+    decontamination,
+    language,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    token_blocks,
+    toxicity,
+)
 from surveylake.llm.words import stored
 from surveylake.session import scratch_path
 
@@ -173,3 +184,29 @@ def op7_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     token_blocks.write_blocks(table(spark, sf_dir, "documents"), path, word_vocabulary, shards)
     return token_blocks.read_documents(token_blocks.read_blocks(spark, path))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs)).select(
+        "doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.fit(pii.labelled_table())
+    return pii.find_personal_data(table(spark, sf_dir, "documents"), field)

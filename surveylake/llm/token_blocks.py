@@ -18,9 +18,10 @@ are ordered by the hash of their text and may lie in neighbouring shards; an emp
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ BLOCK_FIELDS = (
     "shard int, block int, first_id long, n_ids long, width int, doc_ids array<long>, ends array<long>, payload binary"
 )
 # Distinct words whose ids a worker remembers; beyond that it begins anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 600_000
 
 
 def width_of(vocabulary_size: int) -> int:
@@ -103,26 +104,36 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, Sequence[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.flat = np.zeros(0, dtype=np.int32)  # ids of all known parts, one after another
+        self.ends = np.zeros(1, dtype=np.int64)  # part i is flat[ends[i]:ends[i + 1]]
+
+    def _learn(self, unknown: list[bytes]) -> None:
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        more = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(lengths.sum()))
+        self.places.update(zip(unknown, range(len(self.places), len(self.places) + len(unknown))))
+        self.flat = np.concatenate([self.flat, more])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
         words = pretokens(texts)
         vocabulary = words.vocabulary.to_pylist()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        unknown = [w for w in vocabulary if w not in self.known]
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, dtype=np.int32)) for w, e in zip(unknown, encoded))
-        parts = [self.known[w] for w in vocabulary]
-        lengths = np.fromiter((len(p) for p in parts), dtype=np.int64, count=len(parts))
-        flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-        begins = np.cumsum(lengths) - lengths
-        sizes = lengths[words.codes]
-        total = np.zeros(len(sizes) + 1, dtype=np.int64)
-        np.cumsum(sizes, out=total[1:])
-        where = np.repeat(begins[words.codes] - total[:-1], sizes) + np.arange(total[-1])
-        return flat[where], total[words.bounds[1:]] - total[words.bounds[:-1]]
+        if len(self.places) > REMEMBERED:
+            self._forget()
+        unknown = [w for w in vocabulary if w not in self.places]
+        if unknown:
+            self._learn(unknown)
+        part = np.fromiter(map(self.places.__getitem__, vocabulary), dtype=np.int64, count=len(vocabulary))[words.codes]
+        sizes = self.ends[part + 1] - self.ends[part]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        where = np.repeat(self.ends[part] - total[:-1], sizes) + np.arange(total[-1])
+        return self.flat[where], total[words.bounds[1:]] - total[words.bounds[:-1]]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
