@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveylake.llm.words import Words, pieces, raw_bytes, split_words, sums_between, word_spans
 
@@ -74,6 +75,8 @@ def repeated_words(words: Words, window: int = WINDOW, seed: int = 7) -> np.ndar
     hashes ^= owner[: len(hashes)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(29)
     inside = np.flatnonzero(owner[: n - window + 1] == owner[window - 1 :])
+    if not len(inside):
+        return np.zeros(len(counts), dtype=np.int64)
     order = np.argsort(hashes[inside], kind="stable")
     ranked = hashes[inside][order]
     same = ranked[1:] == ranked[:-1]
@@ -129,8 +132,8 @@ def ledger(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
                 columns = [*piece.columns[:-1], *(pa.array(measured[m], pa.int64()) for m in MEASURES)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*carried, *MEASURES])
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried]
-    schema = ", ".join([*fields, *(f"{m} long" for m in MEASURES)])
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in carried]
+    schema = T.StructType([*fields, *(T.StructField(m, T.LongType()) for m in MEASURES)])
     return source.mapInArrow(run, schema).withColumn("bits", failure_bits())
 
 

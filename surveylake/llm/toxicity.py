@@ -1,6 +1,7 @@
 """Toxicity by a convolutional text classifier trained in numpy.
 
-A word is the mean of hashed embeddings: its whole form and its character n-grams. Filters of
+A word is the mean of hashed embeddings: its whole form and its character n-grams. One dimension begins as
+the evidence that the bucket's texts are toxic, counted over the rows the weights are fitted on; the others at random. Filters of
 several widths run over the words, each filter keeps its largest value in the text (max pooling), and a logistic
 layer scores the kept values. Training sends gradients through the winning positions only.
 
@@ -30,12 +31,12 @@ from surveylake.llm.words import Words, pieces, split_words, stored, sums_betwee
 
 SAMPLE = 2500
 FOLDS = 5
-BUCKET_BITS = 15
+BUCKET_BITS = 17
 GRAMS = (0, 4, 5)
 DIM = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 16
-EPOCHS = 6
+EPOCHS = 4
 BATCH = 32
 SCORE_BYTES = 2 << 20
 # Frequent function words, by which a text's language is guessed for the threshold only.
@@ -79,12 +80,18 @@ class Network:
 
     def __init__(self, seed: int = 11):
         rng = np.random.default_rng(seed)
-        self.E = (rng.standard_normal((1 << BUCKET_BITS, DIM)) * 0.3).astype(np.float32)
-        self.W = (rng.standard_normal((DIM, sum(WIDTHS) * FILTERS)) * 0.3).astype(np.float32)
+        self.E = (rng.standard_normal((1 << BUCKET_BITS, DIM)) * 0.1).astype(np.float32)
+        self.W = (rng.standard_normal((DIM, sum(WIDTHS) * FILTERS)) * 0.2).astype(np.float32)
         self.b = np.zeros(len(WIDTHS) * FILTERS, dtype=np.float32)
-        self.v = (rng.standard_normal(len(WIDTHS) * FILTERS) * 0.3).astype(np.float32)
+        self.v = (rng.standard_normal(len(WIDTHS) * FILTERS) * 0.1).astype(np.float32)
         self.c = np.zeros(1, dtype=np.float32)
 
+    def start_from(self, odds: np.ndarray) -> None:
+        """Put the evidence for each bucket into the first dimension, which all filters begin to look at."""
+        self.E[:, 0] = odds
+        self.W[0] += 0.5
+        self.v += 0.1
+
     def projections(self, embeddings: np.ndarray) -> np.ndarray:
         """What each word adds to each filter at each place of its window; the last row is for no word."""
         rows = np.zeros((len(embeddings) + 1, self.W.shape[1]), dtype=np.float32)
@@ -114,11 +121,27 @@ def embed(grams: WordGrams, table: np.ndarray) -> np.ndarray:
     return grams.sums(table) / np.maximum(grams.totals(), 1)[:, None].astype(np.float32)
 
 
+def evidence(words: Words, grams: WordGrams, texts: np.ndarray, labels: np.ndarray, prior: float = 0.5) -> np.ndarray:
+    """Per bucket, the log odds of its texts being of label 1 rather than 0, in standard errors; rare buckets stay near 0."""
+    seen = np.zeros((2, 1 << BUCKET_BITS))
+    begins = [np.cumsum(c) - c for c in grams.counts]
+    for i in texts:
+        own = np.unique(words.codes[words.bounds[i] : words.bounds[i + 1]])
+        parts = []
+        for buckets, counts, begin in zip(grams.buckets, grams.counts, begins):
+            n = counts[own]
+            parts.append(buckets[np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        seen[int(labels[i]), np.unique(np.concatenate(parts))] += 1
+    totals = np.array([(labels[texts] == k).sum() for k in (0, 1)])
+    rates = np.log((seen + prior) / (totals[:, None] + 2 * prior))
+    return (rates[1] - rates[0]) / np.sqrt((1 / (seen + prior)).sum(axis=0))
+
+
 class _Trainer:
     """Adagrad on the logistic loss; embedding rows without a gradient are left alone."""
 
-    def __init__(self, network: Network, words: Words, labels: np.ndarray, weights: np.ndarray, rate: float = 0.1):
-        self.net, self.words, self.labels, self.weights, self.rate = network, words, labels, weights, rate
+    def __init__(self, network: Network, words: Words, labels: np.ndarray, rate: float = 0.05):
+        self.net, self.words, self.labels, self.rate = network, words, labels, rate
         self.grams = WordGrams(words.vocabulary, GRAMS, BUCKET_BITS)
         self.seen = {name: np.full_like(getattr(network, name), 1e-6) for name in "EWbvc"}
         per_word = [np.split(b, np.cumsum(c)[:-1]) for b, c in zip(self.grams.buckets, self.grams.counts)]
@@ -149,7 +172,7 @@ class _Trainer:
             best.append(np.take_along_axis(out, place, axis=0))
         pooled = np.maximum(np.concatenate(best, axis=1) + net.b, 0)
         score = 1 / (1 + np.exp(-(pooled @ net.v + net.c[0])))
-        error = ((score - self.labels[texts]) * self.weights[texts] / len(texts)).astype(np.float32)
+        error = ((score - self.labels[texts]) / len(texts)).astype(np.float32)
         back = error[:, None] * net.v * (pooled > 0)
         d_projected = np.zeros_like(projected)
         block = 0
@@ -195,9 +218,10 @@ def fit(texts: pa.Array, labels: np.ndarray, shares: tuple[float, float], seed:
     held = rng.permutation(n) % 5 == 0
     parts = np.array([max(1, (labels == 0).sum()), max(1, labels.sum())])
     fitting = np.flatnonzero(~held)
-    trainer = _Trainer(network, words, labels, np.ones(n, dtype=np.float32))
+    trainer = _Trainer(network, words, labels)
+    network.start_from(evidence(words, trainer.grams, fitting, labels) / 3)
     for epoch in range(EPOCHS):
-        trainer.rate = 0.1 / (1 + epoch)
+        trainer.rate = 0.05 / (1 + epoch)
         order = rng.permutation(fitting)
         for low in range(0, len(order), BATCH):
             trainer.batch(order[low : low + BATCH])
