@@ -8,12 +8,13 @@ spent on documents: whole passes over all of them, and for the rest a seeded sel
 
 The selection orders a pattern's documents by a seeded hash, cut into buckets of
 about equal size. Bucket sums tell where the quota ends; only the documents of that
-one bucket are ordered, and the gap before the first document that does not fit is
-filled by the largest documents that do.
+one bucket are ordered. The gap before the first document that does not fit is then closed
+round by round with the largest document that fits, and at last with the one that comes nearest even if it doesn't;
+here a document may be taken again, but never more than `MAX_PASSES` times.
 
 Defined results: a null or empty text has size 0 and is taken 0; a null source is a
-source of its own, last in order; rows of one id and text share the hash and are ordered by their further copies, arbitrary
-among equals but counted exactly; without any tokens all targets are 0; an empty table gives no
+source of its own, last in order; rows of one id and text share the hash and
+are taken alike; without any tokens all targets are 0; an empty table gives no
 rows; other columns stay with their rows, those named like a result column are replaced.
 """
 
@@ -33,7 +34,7 @@ from surveylake.llm.words import stored, word_count
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 BUCKETS = 4096
-FILL_ROUNDS = 4
+FILL_ROUNDS = 6
 # Patterns and sources are planned on the driver; more of them are an error, not a cut.
 MAX_PATTERNS = 100_000
 SEED = 20240501
@@ -183,12 +184,12 @@ class Selection:
     def copies(self, rows: DataFrame) -> DataFrame:
         """Add `_copies` to rows with `_pattern` and `_key`. The table is bounded by `MAX_PATTERNS` rows and is broadcast."""
         joined = rows.join(F.broadcast(self.table), "_pattern")
-        return joined.withColumn("_copies", F.col("_passes") + _once_more().cast("int")).drop("_passes", "_cut", "_extra")
+        return joined.withColumn("_copies", _copies()).drop("_passes", "_cut", "_extra")
 
 
-def _once_more() -> Column:
+def _copies() -> Column:
     below = F.coalesce(_unsigned(F.col("_key")) < _unsigned(F.col("_cut")), F.lit(False))
-    return below | F.array_contains("_extra", F.col("_key"))
+    return F.col("_passes") + below.cast("int") + F.size(F.filter("_extra", lambda key: key == F.col("_key")))
 
 
 def select_documents(
@@ -205,22 +206,23 @@ def select_documents(
         rows = [(p, passes, cuts[p][0] if p in cuts else None, extra[p]) for p, (passes, _) in plan.items()]
         return spark.createDataFrame(rows, "_pattern string, _passes int, _cut long, _extra array<long>")
 
-    for _ in range(rounds):
-        gap = spark.createDataFrame([x for x in gaps.items() if x[1] > 0], "_pattern string, _gap long")
+    for last in [False] * rounds + [True]:
+        open_gaps = [x for x in gaps.items() if x[1] > 0]
+        gap = spark.createDataFrame(open_gaps, "_pattern string, _gap long")
         found = (
             units.join(F.broadcast(table()), "_pattern")
-            .filter(~_once_more())
+            .filter(_copies() < MAX_PASSES)
             .join(F.broadcast(gap), "_pattern")
-            .filter("weight <= _gap")
+            .filter("weight < 2 * _gap" if last else "weight <= _gap")
             .groupBy("_pattern")
-            .agg(F.max(F.struct("weight", "_key")).alias("best"))
+            .agg(F.min(F.struct(F.abs(F.col("weight") - F.col("_gap")).alias("off"), _copies().alias("copies"), "_key", "weight")).alias("best"))
             .collect()
+            if open_gaps
+            else []
         )
         for row in found:
             extra[row["_pattern"]].append(row.best["_key"])
             gaps[row["_pattern"]] -= row.best["weight"]
-        if not found:
-            break
     return Selection(table())
 
 

@@ -114,7 +114,8 @@ class Network:
         codes, bounds = padded(words, max(WIDTHS))
         projected = self.projections(embeddings)
         pooled = [np.maximum.reduceat(out, bounds[:-1], axis=0) for out in self.windows(projected, codes, bounds)]
-        return np.maximum(np.concatenate(pooled, axis=1) + self.b, 0) @ self.v + self.c[0]
+        values = np.maximum(np.concatenate(pooled, axis=1) + self.b, 0).astype(np.float64)
+        return values @ self.v.astype(np.float64) + self.c[0]
 
 
 def embed(grams: WordGrams, table: np.ndarray) -> np.ndarray:
@@ -249,8 +250,9 @@ class Scorer:
     def scores(self, texts: pa.Array) -> np.ndarray:
         words = split_words(texts)
         embeddings = embed(WordGrams(words.vocabulary, GRAMS, BUCKET_BITS), self.network.E)
-        shifted = self.network.logits(words, embeddings).astype(np.float64) - self.cuts[language_groups(words)]
-        return 1 / (1 + np.exp(-np.clip(shifted, -50, 50)))
+        shifted = self.network.logits(words, embeddings) - self.cuts[language_groups(words)]
+        # Rounded, so that the rows scored together don't show in the last digits.
+        return np.round(1 / (1 + np.exp(-np.clip(shifted, -50, 50))), 5)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | float:
