@@ -154,7 +154,7 @@ def _open_units(units: DataFrame) -> DataFrame:
 
 def _split_units(units: DataFrame, budget: int, step: int = SPLIT_BITS) -> DataFrame:
     """Each pair of nodes as the pairs of their children `step` bits below that the budget still allows."""
-    child = F.shiftrightunsigned(F.shiftleft("bits", F.col("depth")), BITS - step)
+    child = F.expr(f"shiftrightunsigned(shiftleft(bits, depth), {BITS - step})")
     other = F.explode(F.sequence(F.lit(0), F.lit((1 << step) - 1))).alias("other")
     paired = units.select("*", child.alias("child"), other).withColumn("other", F.col("other").cast("long"))
     differing = F.col("differing") + F.bit_count(F.col("child").bitwiseXOR(F.col("other"))).cast("int")
@@ -253,6 +253,8 @@ def trie_links(labelled: DataFrame, blocks: int, budget: int, trie_rows_limit: i
         F.lit(False).alias("cross"),
         F.lit(0).alias("side"),
     )
+    # A node with fewer bits left than a split takes holds fewer rows than this, so no split runs past the last bit.
+    trie_rows_limit = max(trie_rows_limit, 2 << SPLIT_BITS)
     parts = []
     while True:
         opened = stored(units.join(_open_units(units), "unit"), "simhash-units")
