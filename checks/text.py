@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from surveylake.functions.expressions import EMAIL_PATTERN, NUMBER_PATTERN, has_pii, needs_translation, run_id
 from surveylake.operators.corrections import (
     BATCH_SIZE,
-    MAX_BATCHES,
     RANDOM_SEED,
     apply_corrections,
     combine_corrections,
@@ -29,7 +28,7 @@ from surveylake.operators.scoring import (
     to_long,
     withhold_level3,
 )
-from surveylake.operators.text import clean_prep, model_family, oversized, record_cap, scorable
+from surveylake.operators.text import clean_prep, model_family, scorable
 from surveylake.operators.training import (
     SYNTHETIC_ALLOWED,
     classifier_metrics,
@@ -63,7 +62,7 @@ cleaned AS (
 
 
 def cleaned(spark, folder, *metadata):
-    """Cleaned texts long enough to score."""
+    """Cleaned texts with anything to score."""
     usable = scorable(texts(spark, folder), "text", "source")
     return clean_prep(usable, "record_id", "text", "source", "lang", metadata)
 
@@ -72,7 +71,7 @@ def cleaned(spark, folder, *metadata):
     "clean_prep",
     f"""WITH {TEXTS_SQL}, {CLEANED_SQL}
     SELECT record_id, customer_text_clean, has_pii, needs_translation FROM cleaned
-    WHERE length(customer_text_clean) >= 3""",
+    WHERE length(customer_text_clean) >= 1""",
 )
 def _clean_prep(spark, folder):
     return cleaned(spark, folder)
@@ -86,21 +85,6 @@ def _pii_flag(spark, folder):
     return texts(spark, folder).select("record_id", has_pii(F.col("text")).alias("has_pii"))
 
 
-@query(
-    "text_sizes",
-    f"""WITH {TEXTS_SQL}, {CLEANED_SQL}
-    SELECT channel, count(*) AS texts,
-           count(*) FILTER (WHERE strlen(customer_text_clean) > 20000) AS oversized
-    FROM cleaned GROUP BY channel""",
-)
-def _text_sizes(spark, folder):
-    """How many texts a scorer with a limit of 20000 bytes would skip."""
-    t = texts(spark, folder)
-    large = oversized(t, "text", 20_000, "source").groupBy("channel").agg(F.count(F.lit(1)).alias("oversized"))
-    every = t.groupBy("channel").agg(F.count(F.lit(1)).alias("texts"))
-    return every.join(large, "channel", "left").withColumn("oversized", F.coalesce("oversized", F.lit(0)))
-
-
 @query(
     "language_routing",
     f"""WITH {TEXTS_SQL}, {CLEANED_SQL}
@@ -121,17 +105,6 @@ def _run_id(spark, folder):
     return r.select(run_id(F.col("channel"), F.col("event_ts")).alias("run_id")).distinct()
 
 
-@query(
-    "record_cap",
-    f"""WITH {RESPONSES_SQL}
-    SELECT contact_record_id, channel FROM responses
-    ORDER BY md5(contact_record_id || '{RANDOM_SEED}'), contact_record_id LIMIT 5000""",
-)
-def _record_cap(spark, folder):
-    """The run limit of the text stage; here a run configured for 5000 records."""
-    return record_cap(responses(spark, folder).select("contact_record_id", "channel"), 5000, "contact_record_id")
-
-
 @query(
     "model_routing",
     f"""WITH {RESPONSES_SQL}
@@ -190,16 +163,16 @@ def _low_confidence(spark, folder):
 BATCHES_CTE = f"""{LOW_CTE},
 batches AS (
   SELECT *, CAST((row_number() OVER (ORDER BY md5(record_id || '{RANDOM_SEED}'), record_id) - 1) // {BATCH_SIZE}
-                 AS INTEGER) AS batch_index
-  FROM low QUALIFY batch_index < {MAX_BATCHES})"""
+                 AS BIGINT) AS batch_index
+  FROM low)"""
 
 
 @query("reprocess_batches", f"{BATCHES_CTE} SELECT record_id, batch_index FROM batches")
 def _reprocess_batches(spark, folder):
-    """Written as JSON lines per batch and read back."""
+    """Written as JSON lines and read back."""
     root = scratch_path(spark, "batches")
     write_batches(reprocess_batches(low(spark, folder)).select("record_id", "batch_index", "low_topics"), root)
-    return spark.read.schema("record_id bigint, batch_index int").json(root)
+    return spark.read.schema("record_id bigint, batch_index bigint").json(root).select("record_id", "batch_index")
 
 
 # Two outputs for a low record: one for every topic, and a later one for some topics of the web channels.
@@ -459,7 +432,7 @@ def _copy_report(spark, folder):
 @query(
     "reprocess_gate",
     f"""{LOW_CTE} SELECT count(*) AS total_low_confidence_records,
-    CAST(least(ceil(count(*) / {BATCH_SIZE}), {MAX_BATCHES}) AS INTEGER) AS batch_count, count(*) > 0 AS run FROM low""",
+    CAST(ceil(count(*) / {BATCH_SIZE}) AS BIGINT) AS batch_count, count(*) > 0 AS run FROM low""",
 )
 def _reprocess_gate(spark, folder):
     return reprocess_gate(low(spark, folder))

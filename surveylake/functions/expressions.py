@@ -58,11 +58,6 @@ def clean_length_at_least(text: Column, minimum: int) -> Column:
     return visible | (F.length(clean_text(text)) >= minimum)
 
 
-def clean_bytes_at_most(text: Column, maximum: int) -> Column:
-    """Has the cleaned text at most that many bytes? Cleaning never makes a text longer."""
-    return (F.octet_length(text) <= maximum) | (F.octet_length(clean_text(text)) <= maximum)
-
-
 # What counts as personal data in a comment. Only the presence of a match
 # matters, so optional leading parts are left out of the patterns.
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"

@@ -84,20 +84,3 @@ def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:
 def hash_order(record_id: Column, seed: int) -> Column:
     """A reproducible pseudo-random order of records."""
     return F.md5(F.concat(record_id.cast("string"), F.lit(str(seed))))
-
-
-def first_by_hash(df: DataFrame, record_id: str, limit: int, seed: int = 42) -> DataFrame:
-    """The first ``limit`` records in hash order.
-
-    A count per hash prefix finds the prefix in which the limit falls; only rows
-    up to that prefix reach the final sort, about ``limit`` of them instead of
-    ``limit`` per input partition.
-    """
-    keyed = df.withColumn("_order", hash_order(F.col(record_id), seed))
-    keyed = keyed.withColumn("_prefix", F.substring("_order", 1, 4))
-    sizes = keyed.groupBy("_prefix").count()
-    # At most 65536 prefixes, whatever the size of the table.
-    reached = sizes.withColumn("_total", F.sum("count").over(W.orderBy("_prefix")))
-    cutoff = reached.filter(F.col("_total") >= limit).agg(F.coalesce(F.min("_prefix"), F.lit("ffff")))
-    near = keyed.filter(F.col("_prefix") <= cutoff.scalar())
-    return near.orderBy("_order", record_id).limit(limit).drop("_prefix")

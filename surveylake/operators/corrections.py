@@ -14,11 +14,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import content_hash
-from ..functions.grouping import first_by_hash
+from ..functions.grouping import hash_order
 from .scoring import CONFIDENCE_THRESHOLDS, TOPICS, confidence
 
 BATCH_SIZE = 25
-MAX_BATCHES = 50
+# Batches of one output folder.
+FOLDER_BATCHES = 1000
 RANDOM_SEED = 42
 
 
@@ -44,39 +45,43 @@ def low_confidence(
     return low.join(reviewed.select(record_id), record_id, "left_anti")
 
 
-def reprocess_gate(low: DataFrame, batch_size: int = BATCH_SIZE, max_batches: int = MAX_BATCHES) -> DataFrame:
-    """How many records are low, how many batches the run makes of them, and whether there is one at all."""
-    batches = F.least(F.ceil(F.col("total_low_confidence_records") / batch_size), F.lit(max_batches))
+def reprocess_gate(low: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """How many records are low, how many batches they make, and whether there is one at all."""
+    batches = F.ceil(F.col("total_low_confidence_records") / batch_size)
     counted = low.agg(F.count(F.lit(1)).alias("total_low_confidence_records"))
     return counted.select(
         "total_low_confidence_records",
-        batches.cast("int").alias("batch_count"),
+        batches.cast("bigint").alias("batch_count"),
         (F.col("total_low_confidence_records") > 0).alias("run"),
     )
 
 
 def reprocess_batches(
-    low: DataFrame,
-    record_id: str = "record_id",
-    batch_size: int = BATCH_SIZE,
-    max_batches: int = MAX_BATCHES,
-    seed: int = RANDOM_SEED,
+    low: DataFrame, record_id: str = "record_id", batch_size: int = BATCH_SIZE, seed: int = RANDOM_SEED
 ) -> DataFrame:
-    """The records of this run in numbered batches.
+    """All records in numbered batches, in the hash order of the seed.
 
-    The run takes ``batch_size * max_batches`` records in the hash order of the
-    seed; only those are numbered. [choice] The order is ours, the seed and the
-    sizes are not.
+    Records are numbered inside the first digits of their hash and shifted by
+    the records of the smaller ones, so no task sorts the whole table. [choice]
+    The order is ours, the seed and the batch size are not.
     """
-    chosen = first_by_hash(low, record_id, batch_size * max_batches, seed)
-    numbered = chosen.withColumn("_n", F.row_number().over(W.orderBy("_order", record_id)))
-    batch = F.expr(f"cast((_n - 1) div {batch_size} as int)")
-    return numbered.withColumn("batch_index", batch).drop("_n", "_order")
+    keyed = low.withColumn("_order", hash_order(F.col(record_id), seed))
+    keyed = keyed.withColumn("_prefix", F.substring("_order", 1, 4))
+    # Four hexadecimal digits: 65536 rows at most, whatever the size of the table.
+    before = W.orderBy("_prefix").rowsBetween(W.unboundedPreceding, -1)
+    shifts = keyed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_prefix", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")
+    )
+    inside = F.row_number().over(W.partitionBy("_prefix").orderBy("_order", record_id))
+    numbered = keyed.withColumn("_n", inside).join(shifts, "_prefix")
+    batch = F.expr(f"(_shift + _n - 1) div {batch_size}")
+    return numbered.withColumn("batch_index", batch).select(*low.columns, "batch_index")
 
 
 def write_batches(batches: DataFrame, root: str) -> None:
-    """JSON lines, one folder per batch."""
-    batches.hint("rebalance", "batch_index").write.mode("overwrite").partitionBy("batch_index").json(root)
+    """JSON lines with their batch, one folder per ``FOLDER_BATCHES`` batches."""
+    foldered = batches.withColumn("batch_folder", F.expr(f"batch_index div {FOLDER_BATCHES}"))
+    foldered.hint("rebalance", "batch_folder").write.mode("overwrite").partitionBy("batch_folder").json(root)
 
 
 def combine_corrections(outputs: DataFrame, record_id: str = "record_id", version: str = "batch_index") -> DataFrame:

@@ -39,10 +39,11 @@ OUTAGE_COLUMNS = {
 def key_text(column: Column, type_name: str) -> Column:
     """An account key as text; floating keys go through a whole number first.
 
-    A double would otherwise print as ``1.0E9``.
+    A double would otherwise print as ``1.0E9``. One that is no whole number
+    (a fraction, NaN, infinity) is no account and gives NULL.
     """
     if type_name in ("double", "float"):
-        return column.cast("decimal(38,0)").cast("string")
+        return F.when(F.rint(column) == column, column.try_cast("decimal(38,0)").cast("string"))
     return column.cast("string")
 
 

@@ -13,17 +13,12 @@ from pyspark.sql import functions as F
 
 from ..channels import SMS_WEB_CHANNELS
 from ..functions.expressions import (
-    clean_bytes_at_most,
     clean_length_at_least,
     clean_text,
     has_pii,
     needs_translation,
     text_or_fallback,
 )
-from ..functions.grouping import first_by_hash
-
-MIN_TEXT_LENGTH = 3
-MAX_RECORDS = 100_000
 
 
 def chosen_text(text: str, fallback: str | None = None) -> Column:
@@ -54,35 +49,9 @@ def clean_prep(
     )
 
 
-def scorable(
-    df: DataFrame,
-    text: str,
-    fallback: str | None = None,
-    min_length: int = MIN_TEXT_LENGTH,
-    max_bytes: int | None = None,
-) -> DataFrame:
-    """Raw rows whose cleaned text is long enough to score.
-
-    ``max_bytes`` skips larger texts, for a scorer with a size limit; the models
-    here have none, so by default texts of any size pass. Texts are never cut.
-    """
-    raw = chosen_text(text, fallback)
-    long_enough = clean_length_at_least(raw, min_length)
-    return df.filter(long_enough if max_bytes is None else long_enough & clean_bytes_at_most(raw, max_bytes))
-
-
-def oversized(df: DataFrame, text: str, max_bytes: int, fallback: str | None = None) -> DataFrame:
-    """The raw rows a limit on the size of texts would skip."""
-    return df.filter(~clean_bytes_at_most(chosen_text(text, fallback), max_bytes))
-
-
-def record_cap(df: DataFrame, max_records: int = MAX_RECORDS, record_id: str = "record_id") -> DataFrame:
-    """At most ``max_records`` records, the limit a text run is configured with.
-
-    [choice] Which records: the first in hash order of their id, so a re-run
-    takes the same ones.
-    """
-    return first_by_hash(df, record_id, max_records).drop("_order")
+def scorable(df: DataFrame, text: str, fallback: str | None = None) -> DataFrame:
+    """Raw rows with any text left after cleaning, however short or long."""
+    return df.filter(clean_length_at_least(chosen_text(text, fallback), 1))
 
 
 def model_family(channel: Column) -> Column:

@@ -22,7 +22,7 @@ from ..operators.normalize import comment_value, common_view, normalize
 from ..operators.quality import CAMPAIGN_REASON, DEDUP_REASON, campaign_keep, campaign_removed, removed_report
 from ..operators.rollups import availability, cumulative_scores, daily_scores, monthly_yago
 from ..schemas import curated_schema
-from ..sinks.tables import overwrite_partitions, replace_partitions, write_removed_csv, write_single_file
+from ..sinks.tables import overwrite_partitions, replace_partitions, write_parts, write_removed_csv
 from ..sinks.tracker import tracker_update, upsert_tracker
 from ..sources.tables import path_exists, requested_dates, scan_lookup_csv, scan_partition
 
@@ -163,8 +163,8 @@ def write_rollups(spark: SparkSession, catalog: Catalog, specs: Mapping[str, Cha
     def write(spec: Channel) -> None:
         history = score_history(spark, catalog, spec)
         if history is not None:
-            write_single_file(cumulative_scores(history, as_of), f"{catalog.path('aggregate', spec.name)}.parquet")
-            write_single_file(monthly_yago(history, as_of), f"{catalog.path('monthly_yago', spec.name)}.parquet")
+            write_parts(cumulative_scores(history, as_of), catalog.path("aggregate", spec.name))
+            write_parts(monthly_yago(history, as_of), catalog.path("monthly_yago", spec.name))
 
     with ThreadPoolExecutor(max_workers=len(CHANNEL_NAMES)) as pool:
         list(pool.map(write, specs.values()))

@@ -35,8 +35,16 @@ def account_reference(
 def enriched_responses(
     final: DataFrame, reference: DataFrame | None, batch: Sequence[str] = ("event_date",)
 ) -> DataFrame:
-    """Final responses with all reference columns, shuffled once for all references."""
-    return final if reference is None else enrich(final, reference, batch=batch)
+    """Final responses with all reference columns, shuffled once for all references.
+
+    A reference of which the responses already have a column is left out; the others are added.
+    """
+    if reference is None:
+        return final
+    present = [set(columns.values()) for columns in (ARREARS_COLUMNS, ACCOUNT_COLUMNS, OUTAGE_COLUMNS)]
+    there = set().union(*(added for added in present if added & set(final.columns)))
+    missing = reference.drop(*there)
+    return enrich(final, missing, batch=batch) if len(missing.columns) > 1 else final
 
 
 def write_enriched(enriched: DataFrame, root: str) -> None:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
@@ -19,22 +18,17 @@ from ..operators.corrections import (
     write_batches,
 )
 from ..operators.scoring import TOPICS, confidence, score_topics, withhold_level3
-from ..operators.text import clean_prep, model_family, record_cap, scorable
+from ..operators.text import clean_prep, model_family, scorable
 from ..operators.training import featurize
 
 
-def prepare(final: DataFrame, channel: Channel, max_records: int | None = None) -> DataFrame:
-    """Cleaned texts of one channel with their model family.
-
-    ``max_records`` is the run limit of the services this replaces. Spark needs
-    none, so the default scores every record.
-    """
+def prepare(final: DataFrame, channel: Channel) -> DataFrame:
+    """Cleaned texts of one channel, all that aren't empty, with their model family."""
     language = channel.language_column if channel.language_column in final.columns else None
     fallback = channel.fallback_text_column if channel.fallback_text_column in final.columns else None
     usable = scorable(final, channel.text_column, fallback)
     cleaned = clean_prep(usable, "contact_record_id", channel.text_column, fallback, language)
-    texts = cleaned.withColumn("model_family", model_family(F.lit(channel.name)))
-    return texts if max_records is None else record_cap(texts, max_records)
+    return cleaned.withColumn("model_family", model_family(F.lit(channel.name)))
 
 
 def score(texts: DataFrame, models: Mapping[str, tuple[Transformer, list[str]]]) -> DataFrame:
@@ -60,7 +54,3 @@ def corrected_dashboards(
     """All-columns and trimmed dashboard with the combined corrections laid over."""
     corrected = apply_corrections(output, combine_corrections(batch_outputs, record_id), record_id)
     return corrected, dashboard_trimmed(corrected, record_id=record_id)
-
-
-def run_name(source: str, started: datetime) -> str:
-    return f"{source}-inference-{started:%Y-%m-%d-%H-%M-%S}"

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 100_000
+# CSV keeps texts as they are: outer white space stays, a quote is doubled, null and the empty text differ.
+CSV = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "escape": '"',
+}
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -25,7 +30,7 @@ def overwrite_partitions(
     partition that is too large for one task.
     """
     writer = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("header", True).partitionBy(*by).format(fmt).save(root)
+    writer.options(**(CSV if fmt == "csv" else {})).partitionBy(*by).format(fmt).save(root)
 
 
 def replace_partitions(
@@ -58,73 +63,29 @@ def write_removed_csv(df: DataFrame, root: str, dates: Sequence[object] = ()) ->
         overwrite_partitions(df, root, ["removed_date"], "csv")
 
 
-def write_single_file(df: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """One file at exactly ``target``, for results of known small size.
-
-    A larger result is refused, never cut; it belongs in a folder of parts
-    (``write_parts``). The file is written beside the target under a name of its
-    own run and then moved, so concurrent runs do not meet.
-    """
-    spark = df.sparkSession
-    staging = f"{target}.tmp-{uuid.uuid4().hex}"
-    # One row past the limit is enough to know; the result is computed once.
-    bounded = df.limit(SINGLE_FILE_ROWS + 1)
-    seen = Observation()
-    counted = bounded.coalesce(1).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.option("header", True).format(fmt).save(staging)
-    if seen.get["rows"] > SINGLE_FILE_ROWS:
-        fs, staged = _hadoop(spark, staging)
-        fs.delete(staged, True)
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for one file; use write_parts")
-    fs, staged = _hadoop(spark, staging)
-    parts = [s.getPath() for s in fs.listStatus(staged) if s.getPath().getName().startswith("part-")]
-    if len(parts) != 1:
-        raise RuntimeError(f"expected one part file under {staging}, found {len(parts)}")
-    _, final = _hadoop(spark, target)
-    if fs.exists(final):
-        fs.delete(final, True)
-    if not fs.rename(parts[0], final):
-        raise RuntimeError(f"could not move the result to {target}")
-    fs.delete(staged, True)
-
-
 def write_parts(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").option("header", True).format(fmt).save(folder)
+    df.write.mode("overwrite").options(**(CSV if fmt == "csv" else {})).format(fmt).save(folder)
 
 
-def export_csv(spark: SparkSession, source: str, target: str, single_file: bool = False) -> tuple[int, int]:
-    """A parquet file or folder as CSV with a header row; returns the rows and columns written.
-
-    By default a folder of parts, written in parallel; one file at an exact path
-    only for results that fit one.
-    """
+def export_csv(spark: SparkSession, source: str, target: str) -> tuple[int, int]:
+    """A parquet file or folder as a folder of CSV parts with header rows; returns the rows and columns written."""
     seen = Observation()
     df = spark.read.parquet(source).observe(seen, F.count(F.lit(1)).alias("rows"))
-    if single_file:
-        write_single_file(df, target, "csv")
-    else:
-        write_parts(df, target, "csv")
+    write_parts(df, target, "csv")
     return int(seen.get["rows"]), len(df.columns)
 
 
-def csv_name(key: str, prefix: str = "") -> str | None:
-    """Target name of a converted object; None for an object that is not parquet."""
-    if not key.lower().endswith(".parquet"):
-        return None
-    return f"{prefix}{key.rsplit('.', 1)[0]}.csv"
-
-
 # --- reporting tables ------------------------------------------------------------
 
-# Reporting column types by Spark type; any other type is text.
+# Reporting column types by Spark type, in the names that Spark's parser reads; text is left to the database's dialect.
 REPORTING_TYPES = {
     "boolean": "BOOLEAN",
     "tinyint": "BIGINT",
     "smallint": "BIGINT",
     "int": "BIGINT",
     "bigint": "BIGINT",
-    "float": "DOUBLE PRECISION",
-    "double": "DOUBLE PRECISION",
+    "float": "DOUBLE",
+    "double": "DOUBLE",
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
     "date": "DATE",
@@ -132,7 +93,8 @@ REPORTING_TYPES = {
 
 
 def reporting_column_types(df: DataFrame) -> str:
-    return ", ".join(f'"{name}" {REPORTING_TYPES.get(kind, "TEXT")}' for name, kind in df.dtypes)
+    typed = [(name.replace("`", "``"), REPORTING_TYPES.get(kind)) for name, kind in df.dtypes]
+    return ", ".join(f"`{name}` {kind}" for name, kind in typed if kind)
 
 
 def refresh_jdbc_table(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

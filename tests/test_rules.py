@@ -249,11 +249,29 @@ def test_dates_that_are_text_lose_no_row(spark):
     assert [r.response_received_date for r in kept] == ["2026-01-02"] and len(removed) == 3
 
 
-def test_text_size_limit_is_optional(spark):
-    from surveylake.operators.text import oversized, scorable
-
-    df = spark.createDataFrame([("ab",), ("abc",), ("x" * 50,), (" " * 60 + "abcd",), (None,)], "text string")
-    assert scorable(df, "text").count() == 3
-    assert scorable(df, "text", max_bytes=20).count() == 2
-    assert oversized(df, "text", 20).count() == 1
-    assert scorable(spark.createDataFrame([("a b c",)], "text string"), "text").count() == 1
+def test_texts_of_any_length_are_scored(spark):
+    from surveylake.operators.text import scorable
+
+    df = spark.createDataFrame([("ab",), ("no",), ("x" * 50_000,), (" " * 60 + "abcd",), ("  ",), ("",), (None,)], "text string")
+    assert scorable(df, "text").count() == 4
+    assert scorable(spark.createDataFrame([("a",)], "text string"), "text").count() == 1
+
+
+def test_floating_keys_that_are_no_account(spark):
+    rows = [(1e9,), (1.5,), (float("nan"),), (float("inf"),), (None,)]
+    df = spark.createDataFrame(rows, "k double")
+    assert values(df, key_text(F.col("k"), "double")) == ["1000000000", None, None, None, None]
+
+
+def test_references_already_there_are_left_out(spark):
+    from surveylake.operators.enrich import ACCOUNT_COLUMNS, ACCOUNT_KEY, ARREARS_COLUMNS, OUTAGE_COLUMNS
+    from surveylake.plans.enrichment import enriched_responses
+
+    added = [*ARREARS_COLUMNS.values(), *ACCOUNT_COLUMNS.values(), *OUTAGE_COLUMNS.values()]
+    reference = spark.range(1).select(F.lit("1").alias(ACCOUNT_KEY), *[F.lit("new").alias(c) for c in added])
+    there = next(iter(ARREARS_COLUMNS.values()))
+    final = spark.createDataFrame([(D(2026, 1, 5), "1", "old")], f"event_date date, cas_account_number string, `{there}` string")
+    row = enriched_responses(final, reference).first().asDict()
+    assert row[there] == "old" and not set(list(ARREARS_COLUMNS.values())[1:]) & set(row)
+    assert {row[c] for c in [*ACCOUNT_COLUMNS.values(), *OUTAGE_COLUMNS.values()]} == {"new"}
+    assert enriched_responses(final, reference.select(ACCOUNT_KEY, *ARREARS_COLUMNS.values())).columns == final.columns

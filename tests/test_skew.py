@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from surveylake.functions.grouping import first_by_hash, keep_first, not_first, repeat_rows
+from surveylake.functions.grouping import keep_first, not_first, repeat_rows
 from surveylake.operators.dedup import dedup_by_comment, removed_by_comment
 from surveylake.operators.enrich import enrich, reference_columns
 
@@ -53,13 +53,16 @@ def test_copies_are_written_back(spark):
     assert counts == {"x": 25_001, "y": 1}
 
 
-def test_first_by_hash_is_the_sorted_head(spark):
+def test_batches_hold_every_record_in_hash_order(spark):
     import hashlib
 
-    df = spark.range(5000).withColumnRenamed("id", "record_id")
-    head = sorted(range(5000), key=lambda i: (hashlib.md5(f"{i}42".encode()).hexdigest(), i))[:37]
-    assert [r.record_id for r in first_by_hash(df, "record_id", 37).collect()] == head
-    assert first_by_hash(df, "record_id", 9999).count() == 5000
+    from surveylake.operators.corrections import reprocess_batches
+
+    df = spark.range(5003).withColumnRenamed("id", "record_id")
+    ordered = sorted(range(5003), key=lambda i: (hashlib.md5(f"{i}42".encode()).hexdigest(), i))
+    found = {r.record_id: r.batch_index for r in reprocess_batches(df, batch_size=25).collect()}
+    assert found == {i: n // 25 for n, i in enumerate(ordered)}
+    assert reprocess_batches(df.limit(0)).count() == 0
 
 
 def plan(df):
