@@ -308,12 +308,17 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, **limits) -> DataFram
 
 
 def keep_first(docs: DataFrame, **limits) -> DataFrame:
-    """One document of each component, with the columns of the input: the smallest id, then the smallest text hash.
+    """One document of each component, with the columns of the input: the smallest id, then the smallest text hash."""
+    return first_rows(docs, near_duplicates(docs, **limits))
+
+
+def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of `docs` that `found` (`doc_id`, `text_hash`, `first`) calls first.
 
     Of repeated rows of one id and text, one stays (the smallest hash of the whole row).
     """
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("doc_id").isNull().alias("_no_id")]
-    duplicates = near_duplicates(docs, **limits).filter(~F.col("first"))
+    duplicates = found.filter(~F.col("first"))
     removed = duplicates.select(*key, F.col("text_hash").alias("_text")).distinct()
     names = [f"`{c}`" for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("_row"), *key, F.xxhash64("text").alias("_text"))

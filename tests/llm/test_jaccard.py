@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import random
+
+from helpers import awkward
+
+import corpus_pipeline
+from surveylake.llm import jaccard, simhash
+
+NEAR_DEDUP = dict(corpus_pipeline.STAGES)["near-dedup"]
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def kept_by_all_pairs(rows):
+    """Smallest id of each component of all pairs of similar texts; ids are distinct."""
+    sets, root = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if b < a and similar(sets[a], sets[b]):
+                x, y = top(a), top(b)
+                root[max(x, y)] = min(x, y)
+    return {i for i in root if root[i] == i}
+
+
+def planted(seed=5, groups=60):
+    """Texts with copies of similarity 0.7 to 0.97, and one large group around a text that isn't the first."""
+    rng, rows = random.Random(seed), []
+
+    def edited(words, n):
+        words = list(words)
+        for i in rng.sample(range(len(words)), n):
+            words[i] = f"x{rng.randrange(10**9)}"
+        return words
+
+    for _ in range(groups):
+        words = [f"w{rng.randrange(50_000)}" for _ in range(rng.choice((60, 100, 200, 400)))]
+        rows.append(words)
+        rows += [edited(words, max(1, len(words) * k // 200)) for k in (1, 2, 4, 6)]
+    base = [f"w{rng.randrange(50_000)}" for _ in range(200)]
+    group = [edited(base, 4) for _ in range(60)]
+    rows += [*group[:30], base, *group[30:]]
+    return [(i, " ".join(words)) for i, words in enumerate(rows)]
+
+
+def test_stage_finds_near_copies_from_a_similarity_of_four_fifths(spark, small):
+    rows = planted()
+    found = NEAR_DEDUP(spark, spark.createDataFrame(rows, "doc_id long, text string"), small).collect()
+    wanted = kept_by_all_pairs(rows)
+    assert 60 < len(wanted) < 200
+    assert sorted(r.doc_id for r in found) == sorted(wanted)
+
+
+def test_stage_is_all_pairs_on_documents(spark, small, docs_small):
+    rows = [(r.doc_id, r.text) for r in docs_small.collect()]
+    assert sorted(r.doc_id for r in NEAR_DEDUP(spark, docs_small, small).collect()) == sorted(kept_by_all_pairs(rows))
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    kept = simhash.first_rows(docs, jaccard.near_duplicates(docs))
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [-9, 1, 3, 6, 7, 8] and ids.count(None) == 1
+    empty = awkward(spark, [])
+    assert simhash.first_rows(empty, jaccard.near_duplicates(empty)).count() == 0
