@@ -9,7 +9,8 @@ spent on documents: whole passes over all of them, and for the rest a seeded sel
 The selection orders a pattern's documents by a seeded hash, cut into buckets of
 about equal size. Bucket sums tell where the quota ends; only the documents of that
 one bucket are ordered. The gap before the first document that does not fit is then closed
-round by round with the largest document that fits, and at last with the one that comes nearest even if it doesn't;
+round by round with the largest document that fits. What a few of them leave is spent on all documents that fit,
+again in hash order, until none fits, and at last on the one that comes nearest even if it doesn't;
 here a document may be taken again, but never more than `MAX_PASSES` times.
 
 Defined results: a null or empty text has size 0 and is taken 0; a null source is a
@@ -180,11 +181,16 @@ class Selection:
     """Which documents of each pattern are taken, and how often; one row per pattern."""
 
     table: DataFrame
+    more: DataFrame | None = None  # `_pattern`, `_key` and `_more` of documents taken after the cut; any number
 
     def copies(self, rows: DataFrame) -> DataFrame:
         """Add `_copies` to rows with `_pattern` and `_key`. The table is bounded by `MAX_PATTERNS` rows and is broadcast."""
         joined = rows.join(F.broadcast(self.table), "_pattern")
-        return joined.withColumn("_copies", _copies()).drop("_passes", "_cut", "_extra")
+        joined = joined.withColumn("_copies", _copies()).drop("_passes", "_cut", "_extra")
+        if self.more is None:
+            return joined
+        joined = joined.join(self.more, ["_pattern", "_key"], "left")
+        return joined.withColumn("_copies", F.col("_copies") + F.coalesce("_more", F.lit(0))).drop("_more")
 
 
 def _copies() -> Column:
@@ -202,28 +208,49 @@ def select_documents(
     extra: dict[str, list[int]] = {p: [] for p in plan}
     gaps = {p: left for p, (_, left) in cuts.items()}
 
-    def table() -> DataFrame:
+    more: DataFrame | None = None
+
+    def selection() -> Selection:
         rows = [(p, passes, cuts[p][0] if p in cuts else None, extra[p]) for p, (passes, _) in plan.items()]
-        return spark.createDataFrame(rows, "_pattern string, _passes int, _cut long, _extra array<long>")
-
-    for last in [False] * rounds + [True]:
-        open_gaps = [x for x in gaps.items() if x[1] > 0]
-        gap = spark.createDataFrame(open_gaps, "_pattern string, _gap long")
-        found = (
-            units.join(F.broadcast(table()), "_pattern")
-            .filter(_copies() < MAX_PASSES)
-            .join(F.broadcast(gap), "_pattern")
-            .filter("weight < 2 * _gap" if last else "weight <= _gap")
-            .groupBy("_pattern")
-            .agg(F.min(F.struct(F.abs(F.col("weight") - F.col("_gap")).alias("off"), _copies().alias("copies"), "_key", "weight")).alias("best"))
-            .collect()
-            if open_gaps
-            else []
-        )
-        for row in found:
+        return Selection(spark.createDataFrame(rows, "_pattern string, _passes int, _cut long, _extra array<long>"), more)
+
+    def free(condition: str) -> DataFrame:
+        """Units of open patterns, with the pattern's `_gap`, that may be taken once more."""
+        gap = spark.createDataFrame([x for x in gaps.items() if x[1] > 0], "_pattern string, _gap long")
+        return selection().copies(units).filter(F.col("_copies") < MAX_PASSES).join(F.broadcast(gap), "_pattern").filter(condition)
+
+    def take_nearest(condition: str) -> None:
+        if not any(gap > 0 for gap in gaps.values()):
+            return
+        off = F.abs(F.col("weight") - F.col("_gap")).alias("off")
+        best = F.min(F.struct(off, F.col("_copies").alias("copies"), "_key", "weight")).alias("best")
+        for row in free(condition).groupBy("_pattern").agg(best).collect():
             extra[row["_pattern"]].append(row.best["_key"])
             gaps[row["_pattern"]] -= row.best["weight"]
-    return Selection(table())
+
+    for _ in range(rounds):
+        take_nearest("weight <= _gap")
+    while any(gap > 0 for gap in gaps.values()):
+        fitting = free("weight <= _gap")
+        # Documents taken less often come first; each turn takes at least one of every pattern in which one fits.
+        sums = fitting.groupBy("_pattern", "_copies").agg(F.sum("weight").alias("weight"))
+        least = sums.groupBy("_pattern").agg(F.min(F.struct("_copies", "weight")).alias("least")).collect()
+        if not least:
+            break
+        levels = spark.createDataFrame([(r["_pattern"], r.least["_copies"]) for r in least], "_pattern string, _copies int")
+        level = stored(fitting.join(F.broadcast(levels), ["_pattern", "_copies"]).select("_pattern", "_key", "weight"), "mixing-fitting")
+        ends = _cuts(level, {r["_pattern"]: (0, gaps[r["_pattern"]]) for r in least}, buckets)
+        last = [(r["_pattern"], ends[r["_pattern"]][0] if r["_pattern"] in ends else None) for r in least]
+        end = F.broadcast(spark.createDataFrame(last, "_pattern string, _end long"))
+        inside = F.col("_end").isNull() | (_unsigned(F.col("_key")) < _unsigned(F.col("_end")))
+        taken = level.join(end, "_pattern").filter(inside).select("_pattern", "_key", F.lit(1).alias("_more"))
+        taken = taken if more is None else taken.unionByName(more).groupBy("_pattern", "_key").agg(F.sum("_more").cast("int").alias("_more"))
+        more = stored(taken, "mixing-more")
+        for r in least:
+            p = r["_pattern"]
+            gaps[p] = ends[p][1] if p in ends else gaps[p] - r.least["weight"]
+    take_nearest("weight < 2 * _gap")
+    return selection()
 
 
 @dataclass(frozen=True)

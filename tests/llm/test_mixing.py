@@ -127,3 +127,33 @@ def test_sources_of_equal_rows(spark):
         counts[r.doc_id] += 1
     # 100 words of s have a target of 93, 30 of t one of 37: each is taken whole, once.
     assert counts == {1: 50, 2: 10}
+
+
+def test_a_document_that_holds_a_tenth_is_passed_over(spark):
+    rows = [(i, " ".join(["w"] * (5 + i % 11)), "s") for i in range(900)] + [(900, " ".join(["w"] * 1000), "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing.sizes_of(docs, F.array("source"), keep=["doc_id"]).cache()
+    ordered = sorted((r["_key"] % (1 << 64), r["size"], r["doc_id"]) for r in sized.collect())
+    place = [d for _, _, d in ordered].index(900)
+    before = sum(size for _, size, _ in ordered[:place])
+    pattern = sized.first()["_pattern"]
+    # The cut falls on the long document: half of its words are wanted after the documents before it.
+    quota, after = before + 500, sum(size for _, size, _ in ordered[place + 1 :])
+    found = mixing.select_documents(sized, {pattern: (0, quota)}).copies(sized).collect()
+    # The shortest document has 5 words.
+    assert abs(sum(r["size"] * r["_copies"] for r in found) - quota) < 5
+    copies = {r["doc_id"]: r["_copies"] for r in found}
+    assert copies[900] == 0 and max(copies.values()) <= 3 and all(copies[d] for _, _, d in ordered[:place])
+    # Enough documents come later in hash order, so all but the few that close the gap are taken once.
+    if after > 500:
+        assert sum(n > 1 for n in copies.values()) <= mixing.FILL_ROUNDS + 1
+
+
+def test_one_text_repeated_many_times_is_passed_over(spark):
+    docs = spark.createDataFrame([(i, "a b c d e", "s") for i in range(500)] + [(-1, "r e p", "s")] * 100, "doc_id long, text string, source string")
+    sized = mixing.sizes_of(docs, F.array("source"), keep=["doc_id"]).cache()
+    pattern = sized.first()["_pattern"]
+    keys = {r["doc_id"]: r["_key"] % (1 << 64) for r in sized.collect()}
+    quota = 5 * sum(key < keys[-1] for key in keys.values()) + 150
+    found = mixing.select_documents(sized, {pattern: (0, quota)}).copies(sized).collect()
+    assert sum(r["size"] * r["_copies"] for r in found) == quota
