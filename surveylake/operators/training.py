@@ -6,6 +6,7 @@ Only the parameters of these steps are known, not their code; choices marked
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,12 +17,17 @@ from pyspark.ml.feature import CountVectorizer, HashingTF, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveylake.session import scratch_path
+
 from .scoring import FAMILIES, FAMILY_TOPICS, TOPICS, model_key
 
 MIN_TEXT_LENGTH = 3
 MIN_NEW_RECORDS = 100
 RANDOM_SEED = 42
 FEATURES = 1 << 14
+# First number of LDA iterations, and the share by which the perplexity may still change when they are doubled.
+LDA_ITERATIONS = 10
+LDA_TOLERANCE = 1e-2
 
 # May a topic's training set use synthetic rows? (Sentiment had no trained model there; [choice] no.)
 SYNTHETIC_ALLOWED = {
@@ -119,11 +125,25 @@ def train_topics(
 
 
 def discover_topics(texts: DataFrame, text: str = "customer_text_clean", k: int = 8, terms: int = 10) -> DataFrame:
-    """Topics found without labels, as weighted terms. [choice] LDA over the commonest words."""
-    tokens = texts.select(F.filter(words(F.col(text)), lambda word: F.length(word) >= 3).alias("words"))
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 13, minDF=2.0).fit(tokens)
-    lda = LDA(k=k, seed=RANDOM_SEED, maxIter=10, optimizer="online")
-    model = lda.fit(counter.transform(tokens).select("features"))
+    """Topics found without labels, as weighted terms. [choice] LDA over every word of every text.
+
+    Each iteration draws as many texts as there are, with replacement. The iterations are doubled until the
+    perplexity of all texts settles. The driver holds `k` weights and the string of every distinct word.
+    """
+    tokens = texts.select(words(F.col(text)).alias("words"))
+    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=(1 << 31) - 1, minDF=1.0).fit(tokens)
+    path = scratch_path(texts.sparkSession, "topic-words")
+    counter.transform(tokens).select("features").write.parquet(path)
+    counted = texts.sparkSession.read.parquet(path)
+    iterations, before = LDA_ITERATIONS, math.inf
+    while True:
+        # Whole passes instead of small batches: the first steps may be long ones.
+        lda = LDA(k=k, seed=RANDOM_SEED, maxIter=iterations, optimizer="online", subsamplingRate=1.0, learningOffset=1.0)
+        model = lda.fit(counted)
+        now = model.logPerplexity(counted)
+        if abs(before - now) <= LDA_TOLERANCE * abs(now):
+            break
+        iterations, before = 2 * iterations, now
     vocabulary = texts.sparkSession.createDataFrame(
         list(enumerate(counter.vocabulary)), "term_index int, term string"
     )

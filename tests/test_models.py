@@ -100,5 +100,12 @@ def test_discovered_topics_have_ranked_terms(spark):
         assert weights == sorted(weights, reverse=True)
 
 
+def test_topics_are_found_over_every_word(spark):
+    texts = [("no ok",), ("bill payment charge",), ("power outage storm",)] * 5 + [("onceonly",)]
+    df = spark.createDataFrame(texts, "customer_text_clean string")
+    rows = discover_topics(df, k=2, terms=20).collect()
+    assert {r.term for r in rows} == {"no", "ok", "bill", "payment", "charge", "power", "outage", "storm", "onceonly"}
+
+
 def test_topic_order():
     assert len(TOPICS) == 6 and TOPICS[0] == "overall_sentiment"
