@@ -5,11 +5,10 @@ from pathlib import Path
 
 import pytest
 
-ROOT = Path(__file__).resolve().parents[1]
-sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+TESTS = Path(__file__).resolve().parent
+sys.path[:0] = [str(TESTS.parent), str(TESTS)]
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
+from paths import MEDIUM, SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import compare, connect
-from conftest import ROOT, SMALL
+from paths import ROOT, SMALL
 
 import checks.responses  # noqa: F401
 import checks.rollups  # noqa: F401
