@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm import decontamination, jaccard, mixing, quality, sharding, simhash
+from surveylake.llm import decontamination, mixing, quality, sharding, simhash
 from surveylake.llm.queries import SHARDS, bounded_batches, table
 from surveylake.llm.words import stored
 from surveylake.session import apply_run_conf, scratch_path
@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles of Jaccard similarity 0.8 or more."""
-    return simhash.first_rows(docs, jaccard.near_duplicates(docs))
+    """One document of each group whose fingerprints of four-word shingles differ in at most four bits, link by link."""
+    return simhash.keep_first(docs, width=simhash.SHINGLE, budget=simhash.BUDGET)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -279,10 +279,12 @@ def near_components(
     """`fp` and `root` for every distinct fingerprint; fingerprints that reach each other by links share their root."""
     distinct = stored(fps.select("fp").distinct(), "simhash-distinct")
     early = components(neighbour_links(trie_rows(distinct, blocks, budget), budget), "simhash-early")
+    # Rows of 16 bytes each become one per trie next; by size alone they would be written by a few tasks.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     labelled = stored(
-        distinct.join(early.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "fp", F.coalesce("root", "fp").alias("label")
-        ),
+        distinct.join(early.withColumnRenamed("node", "fp"), "fp", "left")
+        .select("fp", F.coalesce("root", "fp").alias("label"))
+        .repartition(tasks, "fp"),
         "simhash-labels",
     )
     links = trie_links(labelled, blocks, budget, trie_rows_limit, group_rows)
@@ -296,7 +298,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, **limits) -> DataFram
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"))
     firsts = fps.groupBy("fp").agg(F.min(name).alias("name"))
     rooted = stored(firsts.join(near_components(firsts, **limits), "fp"), "simhash-roots")
-    named = rooted.groupBy("root").agg(F.min("name").alias("first_name"))
+    # Stored, so that the join below reads both sides from files and a root of very many fingerprints can be split.
+    named = stored(rooted.groupBy("root").agg(F.min("name").alias("first_name")), "simhash-names")
     lookup = rooted.join(named, "root").select("fp", "first_name")
     return fps.join(lookup, "fp").select(
         "doc_id",
