@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from surveylake.llm import (
     chat,
     decontamination,
+    importance,
     language,
     mixing,
+    neighbours,
+    phrases,
     pii,
     quality,
     sharding,
@@ -210,3 +213,114 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = pii.fit(pii.labelled_table())
     return pii.find_personal_data(table(spark, sf_dir, "documents"), field)
+
+
+@query("op11_neighbours")
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = rows.filter(F.pmod("vec_id", F.lit(neighbours.QUERY_STEP)) == 0)
+    return neighbours.nearest(rows, asked)
+
+
+# DuckDB has no CRC-32, so its table is made by the rule of the polynomial and run over each distinct word's bytes.
+OP12_SQL = r"""
+WITH crc_step AS (
+  SELECT i::BIGINT AS i, list_reduce([i::BIGINT, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+  FROM range(256) AS r(i)
+), crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM crc_step
+), source_words AS (
+  SELECT doc_id, row_number() OVER () AS row_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), target_words AS (
+  SELECT regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), used AS (
+  SELECT row_id, unnest(w) AS word FROM source_words
+), aimed AS (
+  SELECT unnest(w) AS word FROM target_words
+), vocabulary AS (
+  SELECT DISTINCT word FROM (SELECT word FROM used UNION ALL SELECT word FROM aimed)
+), hashed AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(1, strlen(word) + 1),
+      lambda b: ('0x' || hex(word)[2 * b - 1:2 * b])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM vocabulary, crc_table
+), s AS (
+  SELECT bucket, count(*) AS s FROM used JOIN hashed USING (word) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM aimed JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT count(*) FROM used)::DOUBLE AS all_s, (SELECT count(*) FROM aimed)::DOUBLE AS all_t
+), gain AS (
+  SELECT s.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)
+    / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), totals
+), summed AS (
+  SELECT row_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM used JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY row_id
+), scored AS (
+  SELECT doc_id, row_id, coalesce(len(w), 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM source_words LEFT JOIN summed USING (row_id)
+), ranked AS (
+  SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (row_id)
+"""
+
+
+@query("op12_importance", OP12_SQL)
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target).select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts
+), totals AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang
+), runs AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM pieces, range(1, 6) AS sizes(k), unnest(range(1, len(w) - k + 2)) AS places(i)
+), f AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS f, string_split(phrase, ' ') AS w
+  FROM runs GROUP BY lang, k, phrase HAVING count(*) >= 100
+), covering AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS longer
+  FROM f, range(2, 5) AS inner_sizes(size), unnest(range(1, k - size + 2)) AS places(i)
+  WHERE k > size GROUP BY ALL
+), candidates AS (
+  SELECT f.* FROM f LEFT JOIN covering USING (lang, phrase) WHERE k >= 2 AND (longer IS NULL OR 100 * longer < 100 * f)
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, z.n, cut, (1000 * c.f * z.n) // (x.f * y.f) AS score
+  FROM candidates AS c, unnest(range(1, k)) AS split_places(cut)
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')
+  JOIN totals AS z ON z.lang = c.lang
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS choice FROM cuts
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE choice = 1
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op13_phrases", OP13_SQL)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"))
+    return found.withColumn("rank", F.col("rank").cast("long"))
