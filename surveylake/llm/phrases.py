@@ -47,6 +47,8 @@ SLOTS = 1 << 22
 CHECKED = 3
 # Rows in which a table of slots travels.
 SLOT_BLOCK = 1 << 16
+# Windows of a task, as rows of words, that are held to be merged with those of its next blocks.
+MERGE_ROWS = 1 << 20
 # Bytes of text whose words are held at a time.
 BLOCK_BYTES = 4 << 20
 
@@ -253,11 +255,34 @@ def lead_windows(block: Block, order: int, may: list[np.ndarray]) -> np.ndarray:
     return columns[:, may[0]]
 
 
+class WindowSums:
+    """Windows of a task with their counts. Blocks are merged while that at least halves their rows, else handed on."""
+
+    def __init__(self, keys: list[str], limit: int = MERGE_ROWS):
+        self.keys, self.limit, self.held = keys, limit, []
+
+    def add(self, windows: pa.Table) -> Iterator[pa.RecordBatch]:
+        self.held.append(windows)
+        if sum(t.num_rows for t in self.held) > self.limit:
+            yield from self.hand_on(self.limit // 2)
+
+    def hand_on(self, keep: int = 0) -> Iterator[pa.RecordBatch]:
+        """The merged rows, unless they are few enough to be kept for the next blocks."""
+        if not self.held:
+            return
+        merged = pa.concat_tables(self.held)
+        if len(self.held) > 1:
+            merged = merged.group_by(self.keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*self.keys, "n"])
+        self.held = [merged] if merged.num_rows <= keep else []
+        if not self.held:
+            yield from merged.to_batches(max_chunksize=1 << 16)
+
+
 def _window_counter(order: int, frequent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names_out = ["lang", *[f"w{k}" for k in range(1, order + 1)], "n"]
+    names_out = ["lang", *[f"w{k}" for k in range(1, order + 1)]]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        known, sums = frequent.value, WindowSums(names_out)
         for batch in batches:
             names = _languages(batch)
             for block in blocks(batch):
@@ -276,7 +301,8 @@ def _window_counter(order: int, frequent) -> Callable[[Iterator[pa.RecordBatch]]
 
                 langs = pa.array(names).take(pa.array(summed["lang"].to_numpy()))
                 result = [langs, *[words(k) for k in keys], pa.array(summed["count_all"].to_numpy())]
-                yield from pa.table(result, names=names_out).to_batches(max_chunksize=1 << 16)
+                yield from sums.add(pa.table(result, names=[*names_out, "n"]))
+        yield from sums.hand_on()
 
     return count
 
