@@ -1,11 +1,13 @@
 """The daily run: curated channels to final tables, reports, rollups and tracker.
 
 Every requested date of a channel goes through one lazy plan; the actions are
-the writes. Rollups read the stored final tables afterwards.
+the writes. Counts, daily scores and rollups come from the stored states of the
+final tables, so a run reads no date of the history but its own.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -20,10 +22,12 @@ from ..operators.dedup import dedup_by_comment, dedup_by_keys, dedup_responses,
 from ..operators.intent import map_intent
 from ..operators.normalize import comment_value, common_view, normalize
 from ..operators.quality import CAMPAIGN_REASON, DEDUP_REASON, campaign_keep, campaign_removed, removed_report
-from ..operators.rollups import availability, cumulative_scores, daily_scores, monthly_yago
+from ..operators.rollups import availability
+from ..operators.states import content_check, cumulative_from_states, daily_from_states, monthly_from_states, score_states
 from ..schemas import curated_schema
+from ..sinks.states import catch_up, stored_states, update_states
 from ..sinks.tables import overwrite_partitions, replace_partitions, write_parts, write_removed_csv
-from ..sinks.tracker import tracker_update, upsert_tracker
+from ..sinks.tracker import append_run, refresh_tracker
 from ..sources.tables import path_exists, requested_dates, scan_lookup_csv, scan_partition
 
 
@@ -46,6 +50,10 @@ class Catalog:
     def tracker(self) -> str:
         return f"{self.output}/tracker"
 
+    @property
+    def run_log(self) -> str:
+        return f"{self.output}/run_log"
+
 
 def final_responses(raw: DataFrame, channel: Channel, lookup: DataFrame) -> DataFrame:
     """One channel's final table: campaign filter, normalization, intent, de-duplication."""
@@ -85,21 +93,34 @@ def unified_responses(raw: Mapping[str, DataFrame], specs: Mapping[str, Channel]
     return dedup_responses(map_intent(stacked, lookup))
 
 
-def score_history(spark: SparkSession, catalog: Catalog, channel: Channel) -> DataFrame | None:
-    """Scores of a channel's stored final table, or None when it has never been written."""
+def final_states(spark: SparkSession, catalog: Catalog, channel: Channel, dates: list[date]) -> DataFrame:
+    """States of these dates of a channel's stored final table, which must be there; the digests cover every column.
+
+    Only the folders of these dates are listed and read.
+    """
+    final = scan_partition(spark, catalog.path("final", channel.name), dates, curated_schema(channel))
+    scores = {f"q{i}": F.col(c) for i, c in enumerate(channel.score_columns, start=1)}
+    named = final.withColumns({**scores, "channel": F.lit(channel.name)})
+    return score_states(named, "channel", digest=final.columns)
+
+
+def channel_states(spark: SparkSession, catalog: Catalog, channel: Channel) -> DataFrame | None:
+    """The stored states in step with the channel's final table, or None when that has never been written."""
     root = catalog.path("final", channel.name)
     if not path_exists(spark, root):
         return None
-    scores = [F.col(c).alias(f"q{i}") for i, c in enumerate(channel.score_columns, start=1)]
-    return spark.read.parquet(root).select(F.lit(channel.name).alias("channel"), "event_date", *scores)
+    states = catalog.path("score_states", channel.name)
+    catch_up(spark, root, states, lambda dates: final_states(spark, catalog, channel, dates))
+    return stored_states(spark, states)
 
 
-def _batch_counts(history: DataFrame | None, dates: list[date]) -> dict[date, int]:
-    """Rows per requested date: one number per date of the run."""
-    if history is None or not dates:
-        return {}
-    counted = history.filter(F.col("event_date").isin(dates)).groupBy("event_date").count()
-    return {row["event_date"]: row["count"] for row in counted.collect()}
+def _received(raw: DataFrame, dates: list[date]) -> list[date]:
+    """The requested dates that have rows: one value per date of the run."""
+    if not dates:
+        return []
+    present = raw.filter(F.col("event_date").isin(dates)).select("event_date").distinct().collect()
+    arrived = {row["event_date"] for row in present}
+    return [d for d in dates if d in arrived]
 
 
 def process_channel(
@@ -108,18 +129,33 @@ def process_channel(
     """Write one channel's final, removed and daily-score tables; one report row per date."""
     name = channel.name
     raw = scan_partition(spark, catalog.curated_path(name), dates, curated_schema(channel))
-    before = _batch_counts(score_history(spark, catalog, channel), dates)
-    received = _batch_counts(raw, dates)
-    arrived = [d for d in dates if d in received]
+    states = catalog.path("score_states", name)
+    known = channel_states(spark, catalog, channel)
+    # The states before the run, as values: their files are about to be replaced. One row per date.
+    columns = ["channel", "event_date", "rows", "digest_a", "digest_b"]
+    old = known.filter(F.col("event_date").isin(dates)).select(*columns).collect() if known is not None and dates else []
+    arrived = _received(raw, dates)
+    if old:
+        # Without a state a date counts as unknown: if this run breaks off, the next one makes the state anew.
+        update_states(spark, states, known.limit(0), arrived)
     replace_partitions(final_responses(raw, channel, lookup), catalog.path("final", name), arrived)
     if arrived:
         write_removed_csv(removed_responses(raw, channel), catalog.path("removed_records", name), arrived)
-    stored = score_history(spark, catalog, channel)
-    after = _batch_counts(stored, arrived)
-    if after:
-        run_scores = daily_scores(stored.filter(F.col("event_date").isin(list(after))), as_of)
-        overwrite_partitions(run_scores.drop("channel"), catalog.path("daily_scores", name))
-    return [(name, d, after.get(d, 0), before.get(d, 0), after.get(d, 0) > before.get(d, 0)) for d in dates]
+        left = [d for d in arrived if path_exists(spark, f"{catalog.path('final', name)}/event_date={d}")]
+        new = final_states(spark, catalog, channel, left) if left else stored_states(spark, states).limit(0)
+        update_states(spark, states, new, arrived)
+    run_states = stored_states(spark, states).filter(F.col("event_date").isin(arrived)) if arrived else None
+    if run_states is not None and not run_states.isEmpty():
+        overwrite_partitions(daily_from_states(run_states, as_of).drop("channel"), catalog.path("daily_scores", name))
+    before = spark.createDataFrame(old, stored_states(spark, states).select(*columns).schema)
+    now = run_states if run_states is not None else before.limit(0)
+    checked = {row["event_date"]: row for row in content_check(now, before).collect()}
+    report = []
+    for day in dates:
+        row = checked.get(day)
+        counts = (row["new_count"], row["existing_count"]) if row else (0, 0)
+        report.append((name, day, *counts, counts[0] > counts[1], bool(row and row["content_changed"] and day in arrived)))
+    return report
 
 
 def run_daily(
@@ -129,12 +165,13 @@ def run_daily(
     dates: Iterable[date] | None = None,
     channels: Iterable[str] = CHANNEL_NAMES,
     specs: Mapping[str, Channel] | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Process the dates (by default those of the control file) for the given channels.
 
     Channels do not depend on each other, so their jobs are submitted side by
     side. Returns the new-records report. Running it again with the same input
-    leaves every table as it was.
+    leaves every table as it was, but for one more entry in the run log.
     """
     specs = specs or channel_specs()
     dates = list(dates) if dates is not None else requested_dates(spark, catalog.control)
@@ -145,9 +182,13 @@ def run_daily(
         report = [row for rows in done for row in rows]
     write_rollups(spark, catalog, specs, as_of)
     new_records = spark.createDataFrame(
-        report, "channel string, event_date date, new_count bigint, existing_count bigint, new_records_found boolean"
+        report,
+        "channel string, event_date date, new_count bigint, existing_count bigint, new_records_found boolean,"
+        " content_changed boolean",
     )
-    upsert_tracker(spark, catalog.tracker, tracker_update(run_availability(new_records), new_records, as_of, channels))
+    present = run_availability(new_records)
+    append_run(spark, catalog.run_log, present, new_records, as_of, channels, run_id or uuid.uuid4().hex)
+    refresh_tracker(spark, catalog.run_log, catalog.tracker, as_of)
     return new_records
 
 
@@ -158,13 +199,13 @@ def run_availability(new_records: DataFrame) -> DataFrame:
 
 
 def write_rollups(spark: SparkSession, catalog: Catalog, specs: Mapping[str, Channel], as_of: date) -> None:
-    """Cumulative and monthly scores of every channel with history, whatever this run processed."""
+    """Cumulative and monthly scores of every channel with history, whatever this run processed, from its states."""
 
     def write(spec: Channel) -> None:
-        history = score_history(spark, catalog, spec)
-        if history is not None:
-            write_parts(cumulative_scores(history, as_of), catalog.path("aggregate", spec.name))
-            write_parts(monthly_yago(history, as_of), catalog.path("monthly_yago", spec.name))
+        states = channel_states(spark, catalog, spec)
+        if states is not None:
+            write_parts(cumulative_from_states(states, as_of), catalog.path("aggregate", spec.name))
+            write_parts(monthly_from_states(states, as_of), catalog.path("monthly_yago", spec.name))
 
     with ThreadPoolExecutor(max_workers=len(CHANNEL_NAMES)) as pool:
         list(pool.map(write, specs.values()))

@@ -67,3 +67,41 @@ TRACKER = T.StructType(
         ),
     ]
 )
+
+# One row per date; the month is the partition.
+SCORE_STATES = T.StructType(
+    [T.StructField("channel", T.StringType()), T.StructField("event_date", T.DateType()), T.StructField("rows", T.LongType())]
+    + [
+        T.StructField(f"{q}_{part}", kind)
+        for q in ("q1", "q2", "q3")
+        for part, kind in (
+            ("sum", T.DoubleType()), ("count", T.LongType()), ("min", T.DoubleType()), ("max", T.DoubleType()),
+        )
+    ]
+    + [T.StructField(name, T.DecimalType(38, 0)) for name in ("digest_a", "digest_b")]
+    + [T.StructField("state_month", T.StringType())]
+)
+
+# What each run says of the channels it processed; rows are only ever added.
+RUN_LOG = T.StructType(
+    [
+        T.StructField("channel", T.StringType()),
+        T.StructField("available", T.BooleanType()),
+        T.StructField("dates_processed", T.ArrayType(T.DateType())),
+        T.StructField("new_records", TRACKER["source_new_records"].dataType),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("written_at", T.TimestampType()),
+        T.StructField("execution_date", T.DateType()),
+    ]
+)
+
+# What happened to a record sent for reprocessing; rows are only ever added.
+BATCH_EVENTS = T.StructType(
+    [
+        T.StructField("record_id", T.StringType()),
+        T.StructField("batch_index", T.LongType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("happened_at", T.TimestampType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)

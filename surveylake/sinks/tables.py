@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,16 @@ def overwrite_partitions(
     writer.options(**(CSV if fmt == "csv" else {})).partitionBy(*by).format(fmt).save(root)
 
 
+def observed(seen: Observation) -> dict[str, object]:
+    """The observed values; none where the frame was found empty and planned away together with its observation."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
 def replace_partitions(
     df: DataFrame, root: str, values: Sequence[object], column: str = "event_date", fmt: str = "parquet"
 ) -> None:
@@ -45,10 +56,14 @@ def replace_partitions(
     seen = Observation()
     counts = [F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in values]
     overwrite_partitions(df.observe(seen, *counts), root, [column], fmt)
+    rows = observed(seen)
+    drop_partitions(df.sparkSession, root, column, [v for v in values if not rows.get(str(v))])
+
+
+def drop_partitions(spark: SparkSession, root: str, column: str, values: Iterable[object]) -> None:
     for value in values:
-        if seen.get[str(value)] == 0:
-            fs, folder = _hadoop(df.sparkSession, f"{root}/{column}={value}")
-            fs.delete(folder, True)
+        fs, folder = _hadoop(spark, f"{root}/{column}={value}")
+        fs.delete(folder, True)
 
 
 def write_removed_csv(df: DataFrame, root: str, dates: Sequence[object] = ()) -> None:
@@ -72,7 +87,7 @@ def export_csv(spark: SparkSession, source: str, target: str) -> tuple[int, int]
     seen = Observation()
     df = spark.read.parquet(source).observe(seen, F.count(F.lit(1)).alias("rows"))
     write_parts(df, target, "csv")
-    return int(seen.get["rows"]), len(df.columns)
+    return int(observed(seen).get("rows", 0)), len(df.columns)
 
 
 # --- reporting tables ------------------------------------------------------------
@@ -128,7 +143,7 @@ def load_reporting(
         seen = Observation(f"{schema}.{table}")
         try:
             write(df.observe(seen, F.count(F.lit(1)).alias("rows")), schema, table)
-            results.append((schema, table, int(seen.get["rows"]), "SUCCESS", None))
+            results.append((schema, table, int(observed(seen).get("rows", 0)), "SUCCESS", None))
         except Exception as error:  # the report carries every kind of load failure
             results.append((schema, table, 0, "FAILED", str(error)))
     return spark.createDataFrame(

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..channels import SCORING_ORDER, channel_specs
-from ..schemas import TRACKER
+from ..schemas import RUN_LOG, TRACKER
 from ..sources.tables import scan_table
 from .tables import overwrite_partitions
 
@@ -67,6 +68,66 @@ def upsert_tracker(spark: SparkSession, root: str, update: DataFrame) -> None:
     overwrite_partitions(merge_tracker(touched, fixed), root, ["execution_date"])
 
 
+def append_run(
+    spark: SparkSession,
+    root: str,
+    available: DataFrame,
+    new_records: DataFrame,
+    execution_date: date,
+    channels: Iterable[str],
+    run_id: str,
+) -> None:
+    """Add what a run says, one row per channel it processed.
+
+    Arguments as for ``tracker_update``. Every run writes a folder of its own, so runs
+    that overlap lose nothing; one repeated under its own id replaces what it said.
+    """
+    names = spark.createDataFrame([(c,) for c in channels], "channel string")
+    entry = F.struct("event_date", "channel", "new_records_found")
+    report = new_records.groupBy("channel").agg(
+        F.sort_array(F.collect_set("event_date")).alias("dates_processed"),
+        F.sort_array(F.collect_list(entry)).alias("new_records"),
+    )
+    rows = names.join(available.select("channel", "available"), "channel", "left").join(report, "channel", "left")
+    columns = [c for c in RUN_LOG.fieldNames() if c not in ("execution_date", "run_id")]
+    folder = f"{root}/execution_date={execution_date}/run_id={quote(run_id, safe='')}"
+    rows.withColumn("written_at", F.current_timestamp()).select(*columns).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def fold_log(log: DataFrame) -> DataFrame:
+    """The tracker the run log adds up to: per flag what the latest run that set it says, lists of the latest run.
+
+    Runs are ordered by the time of writing, then by id.
+    """
+    last = F.struct("written_at", "run_id").alias("_last")
+    flags = {flag: F.bool_or(F.when(F.col("channel") == channel, F.col("available"))) for channel, flag in FLAGS.items()}
+    runs = log.groupBy("execution_date", "run_id").agg(
+        F.max("written_at").alias("written_at"),
+        *[value.alias(flag) for flag, value in flags.items()],
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("dates_processed")))).alias("dates_processed"),
+        F.sort_array(F.flatten(F.collect_list("new_records"))).alias("source_new_records"),
+    )
+    runs = runs.withColumn("_last", last)
+    latest = {flag: F.max_by(flag, F.when(F.col(flag).isNotNull(), F.col("_last"))) for flag in FLAGS.values()}
+    lists = {name: F.max_by(name, "_last") for name in ("dates_processed", "source_new_records")}
+    folded = runs.groupBy("execution_date").agg(*[v.alias(k) for k, v in {**latest, **lists}.items()])
+    return folded.select(*TRACKER.fieldNames())
+
+
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    return scan_table(spark, root, RUN_LOG)
+
+
+def refresh_tracker(spark: SparkSession, log_root: str, root: str, execution_date: date) -> None:
+    """Write the tracker row of a date again from the log.
+
+    The row is a copy for readers of the tracker table; the log alone decides, so a
+    copy that an overlapping run wrote from an older log is mended by the next run.
+    """
+    log = read_log(spark, log_root).filter(F.col("execution_date") == F.lit(execution_date))
+    overwrite_partitions(fold_log(log), root, ["execution_date"])
+
+
 def scoring_order(spark: SparkSession) -> DataFrame:
     rows = [(name, FLAGS[name], position) for position, name in enumerate(SCORING_ORDER, start=1)]
     return spark.createDataFrame(rows, "channel string, flag string, position int")

@@ -72,15 +72,19 @@ def select_channels(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.filter(F.col("channel").isin(list(names)))
 
 
-def latest_partition(spark: SparkSession, root: str, key: str = "insert_date") -> str | None:
-    """The lexically last ``key=`` folder directly under ``root``, from the listing alone."""
+def partition_values(spark: SparkSession, root: str, key: str) -> list[str]:
+    """The values of the ``key=`` folders directly under ``root``, from the listing alone; none without the folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return None
+        return []
     names = [status.getPath().getName() for status in fs.listStatus(path) if status.isDirectory()]
-    values = [name.split("=", 1)[1] for name in names if name.startswith(f"{key}=")]
-    return max(values, default=None)
+    return [name.split("=", 1)[1] for name in names if name.startswith(f"{key}=")]
+
+
+def latest_partition(spark: SparkSession, root: str, key: str = "insert_date") -> str | None:
+    """The lexically last ``key=`` folder directly under ``root``."""
+    return max(partition_values(spark, root, key), default=None)
 
 
 def scan_latest_snapshot(spark: SparkSession, root: str, schema: StructType, key: str = "insert_date") -> DataFrame:
