@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from surveylake.functions.expressions import EMAIL_PATTERN, NUMBER_PATTERN, has_pii, needs_translation, run_id
+from surveylake.operators.calibration import calibrate, calibration_counts, calibration_table
 from surveylake.operators.corrections import (
     BATCH_SIZE,
     RANDOM_SEED,
@@ -21,6 +22,7 @@ from surveylake.operators.corrections import (
     write_batches,
 )
 from surveylake.operators.scoring import (
+    FAMILY_TOPICS,
     TOPICS,
     assemble_predictions,
     confidence,
@@ -32,9 +34,11 @@ from surveylake.operators.text import clean_prep, model_family, scorable
 from surveylake.operators.training import (
     SYNTHETIC_ALLOWED,
     classifier_metrics,
+    cross_score,
     discover_topics,
     featurize,
     topic_training_rows,
+    topic_word_counts,
     train_topics,
     training_gate,
     training_merge,
@@ -379,6 +383,101 @@ def _classifier_metrics_counts(spark, folder):
     return metrics.withColumns({c: F.round(c, 6) for c in ("precision", "recall")})
 
 
+FOLD_TOPICS = ("overall_sentiment", "is_urgent")
+
+
+@query(
+    "out_of_fold_support",
+    f"""WITH {TEXTS_SQL}, {CLEANED_SQL},
+    parted AS (SELECT t.*, CAST(('0x' || substr(md5(t.record_id || '/{RANDOM_SEED}'), 1, 8))::BIGINT % 3 AS INTEGER) AS fold
+               FROM texts t JOIN cleaned c USING (record_id) WHERE length(customer_text_clean) >= 1),
+    pairs AS ({" UNION ALL ".join(f"SELECT fold, '{t}' AS topic, {t} AS label FROM parted" for t in FOLD_TOPICS)})
+    SELECT fold, topic, label, count(*) AS support, count(*) AS measured FROM pairs WHERE label IS NOT NULL GROUP BY ALL""",
+)
+def _out_of_fold_support(spark, folder):
+    """Per part, topic and label: labelled rows, and those that a model of the other parts has predicted."""
+    scored = cross_score(_featured(spark, folder), scratch_path(spark, "folds"), FOLD_TOPICS, folds=3)
+    cells = [F.struct(F.lit(t).alias("topic"), F.col(f"true_{t}").alias("label"), F.col(t).alias("p")) for t in FOLD_TOPICS]
+    rows = scored.select("fold", F.inline(F.array(*cells))).filter(F.col("label").isNotNull())
+    return rows.groupBy("fold", "topic", "label").agg(F.count(F.lit(1)).alias("support"), F.count("p").alias("measured"))
+
+
+# Predictions are right with a chance that follows their confidence, by a digest of its own.
+CALIBRATION_CTE = f"""WITH {RESPONSES_SQL}, {PREDICTIONS_SQL},
+judged AS ({" UNION ALL ".join(
+    f"SELECT '{t}' AS topic, CASE WHEN {t in FAMILY_TOPICS} AND channel IN ('sms_transactional', 'sms_relational')"
+    f" THEN 'sms_web' ELSE 'default' END AS model_family, CAST(floor({confidence(t)} * 100) AS INTEGER) AS bin,"
+    f" CAST('0x' || substr(md5(record_id || '{t}/right'), 1, 6) AS BIGINT) % 1001 < 1000 * {confidence(t)} AS is_right"
+    f" FROM predictions" for t in TOPICS)}),
+counts AS (SELECT topic, model_family, bin, count(*) AS rows, count(*) FILTER (WHERE is_right) AS correct FROM judged GROUP BY ALL),
+running AS (SELECT *, sum(rows) OVER w AS all_rows, sum(correct) OVER w AS all_correct FROM counts
+            WINDOW w AS (PARTITION BY topic, model_family ORDER BY bin)),
+shares AS (
+  SELECT a.topic, a.model_family, a.bin AS low, b.bin AS high,
+         (b.all_correct - a.all_correct + a.correct)::DOUBLE / (b.all_rows - a.all_rows + a.rows)::DOUBLE AS share
+  FROM running a JOIN running b ON a.topic = b.topic AND a.model_family = b.model_family AND a.bin <= b.bin),
+lows AS (
+  SELECT c.topic, c.model_family, c.bin, s.low, min(s.share) AS least
+  FROM counts c JOIN shares s ON c.topic = s.topic AND c.model_family = s.model_family AND s.low <= c.bin AND s.high >= c.bin
+  GROUP BY ALL),
+fitted AS (SELECT topic, model_family, bin, max(least) AS calibrated FROM lows GROUP BY ALL),
+grid AS (SELECT topic, model_family, CAST(b AS INTEGER) AS bin FROM (SELECT DISTINCT topic, model_family FROM counts), range(101) AS r(b)),
+calibration AS (
+  SELECT g.*, coalesce(c.rows, 0) AS rows, coalesce(c.correct, 0) AS correct,
+         coalesce((SELECT max_by(f.calibrated, f.bin) FROM fitted f
+                   WHERE f.topic = g.topic AND f.model_family = g.model_family AND f.bin <= g.bin),
+                  (SELECT min_by(f.calibrated, f.bin) FROM fitted f
+                   WHERE f.topic = g.topic AND f.model_family = g.model_family)) AS calibrated
+  FROM grid g LEFT JOIN counts c USING (topic, model_family, bin))"""
+
+
+def _judged(spark, folder):
+    p = predictions(spark, folder).withColumn("model_family", model_family(F.col("channel")))
+    truth = {}
+    for t in TOPICS:
+        digest = F.md5(F.concat(F.col("record_id").cast("string"), F.lit(f"{t}/right")))
+        drawn = F.conv(F.substring(digest, 1, 6), 16, 10).cast("bigint") % 1001
+        truth[f"true_{t}"] = F.when(drawn < 1000 * F.col(confidence(t)), F.col(t)).otherwise(F.lit("another"))
+    return p.withColumns(truth)
+
+
+@query("calibration_table", f"{CALIBRATION_CTE} SELECT * FROM calibration")
+def _calibration_table(spark, folder):
+    """The pooled fit against the largest of the least mean shares, which defines it."""
+    return calibration_table(calibration_counts(_judged(spark, folder)))
+
+
+@query(
+    "calibrated_low_confidence",
+    f"""{CALIBRATION_CTE} SELECT record_id, {", ".join(
+        f"(SELECT c.calibrated FROM calibration c WHERE c.topic = '{t}' AND c.bin = CAST(floor({confidence(t)} * 100) AS INTEGER)"
+        f" AND c.model_family = CASE WHEN {t in FAMILY_TOPICS} AND channel IN ('sms_transactional', 'sms_relational')"
+        f" THEN 'sms_web' ELSE 'default' END) AS {confidence(t)}" for t in TOPICS)}
+    FROM predictions WHERE least({", ".join(
+        f"(SELECT c.calibrated FROM calibration c WHERE c.topic = '{t}' AND c.bin = CAST(floor({confidence(t)} * 100) AS INTEGER)"
+        f" AND c.model_family = CASE WHEN {t in FAMILY_TOPICS} AND channel IN ('sms_transactional', 'sms_relational')"
+        f" THEN 'sms_web' ELSE 'default' END)" for t in TOPICS)}) < 0.5""",
+)
+def _calibrated_low_confidence(spark, folder):
+    """The records under a threshold once confidences are chances of being right."""
+    judged = _judged(spark, folder)
+    table_path = scratch_path(spark, "calibration")
+    calibration_table(calibration_counts(judged)).write.parquet(table_path)
+    calibrated = calibrate(judged, spark.read.parquet(table_path))
+    return low_confidence(calibrated).select("record_id", *CONFIDENCES)
+
+
+@query(
+    "topic_word_counts",
+    f"""WITH {TEXTS_SQL}, {CLEANED_SQL},
+    parts AS (SELECT record_id, unnest(regexp_extract_all(lower(customer_text_clean), '[\\p{{L}}\\p{{N}}]+')) AS term
+              FROM cleaned WHERE length(customer_text_clean) >= 1)
+    SELECT term, count(*) AS occurrences, count(DISTINCT record_id) AS texts FROM parts GROUP BY term""",
+)
+def _topic_word_counts(spark, folder):
+    return topic_word_counts(cleaned(spark, folder)).select("term", "occurrences", "texts")
+
+
 @query("discover_topics")
 def _discover_topics(spark, folder):
     return discover_topics(cleaned(spark, folder).select("customer_text_clean"))

@@ -9,17 +9,19 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, HashingTF, StringIndexer
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, StringIndexer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
-from .scoring import FAMILIES, FAMILY_TOPICS, TOPICS, model_key
+from .scoring import FAMILIES, FAMILY_TOPICS, TOPICS, confidence, model_key, score_topics
 
 MIN_TEXT_LENGTH = 3
 MIN_NEW_RECORDS = 100
@@ -28,6 +30,14 @@ FEATURES = 1 << 14
 # First number of LDA iterations, and the share by which the perplexity may still change when they are doubled.
 LDA_ITERATIONS = 10
 LDA_TOLERANCE = 1e-2
+LDA_MAX_ITERATIONS = 320
+# Columns in which a topic model counts words: what the driver holds of it, times the topics.
+TOPIC_COLUMNS = 1 << 14
+# A classifier's fit ends when its loss changes by this share or less; the number of iterations is a safeguard only.
+FIT_TOLERANCE = 1e-3
+FIT_ITERATIONS = 500
+# Parts of the training rows, each scored by models that have not seen it.
+FOLDS = 5
 
 # May a topic's training set use synthetic rows? (Sentiment had no trained model there; [choice] no.)
 SYNTHETIC_ALLOWED = {
@@ -116,7 +126,9 @@ def train_topics(
         index = StringIndexer(inputCol=topic, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
         if len(index.labels) < 2:
             return None
-        classifier = LogisticRegression(maxIter=20, regParam=0.01, featuresCol="features", labelCol="label")
+        classifier = LogisticRegression(
+            maxIter=FIT_ITERATIONS, tol=FIT_TOLERANCE, regParam=0.01, featuresCol="features", labelCol="label"
+        )
         classifier.fit(index.transform(labelled)).write().overwrite().save(f"{folder}/{key}")
         return key, (LogisticRegressionModel.load(f"{folder}/{key}"), list(index.labels))
 
@@ -124,36 +136,101 @@ def train_topics(
         return dict(fitted for fitted in pool.map(fit, jobs) if fitted)
 
 
-def discover_topics(texts: DataFrame, text: str = "customer_text_clean", k: int = 8, terms: int = 10) -> DataFrame:
+def fold_of(record_id: Column, folds: int = FOLDS, seed: int = RANDOM_SEED) -> Column:
+    """The part a record belongs to, by a digest of its id: all rows of a record are in one part, in every run."""
+    digest = F.md5(F.concat(record_id.cast("string"), F.lit(f"/{seed}")))
+    return F.coalesce(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % folds, F.lit(0)).cast("int")
+
+
+def cross_score(
+    featured: DataFrame,
+    folder: str,
+    topics: Sequence[str] = TOPICS,
+    folds: int = FOLDS,
+    record_id: str = "record_id",
+    family: str = "model_family",
+) -> DataFrame:
+    """All rows with predictions of models fitted on the other parts only, and their ``fold``.
+
+    The known labels move to ``true_<topic>``. A topic, or a family's topic, without a model in
+    some part has NULL predictions there. ``featured`` should be stored: every fit reads it.
+    """
+    parted = featured.withColumn("fold", fold_of(F.col(record_id), folds))
+    parts = []
+    for part in range(folds):
+        models = train_topics(parted.filter(F.col("fold") != part), f"{folder}/fold-{part}", topics, family)
+        rows = parted.filter(F.col("fold") == part).withColumnsRenamed({t: f"true_{t}" for t in topics})
+        if models:
+            rows = score_topics(rows.drop(*[t for t in TOPICS if t not in topics]), models, family)
+        missing = [t for t in topics if t not in rows.columns]
+        rows = rows.withColumns({t: F.lit(None).cast("string") for t in missing})
+        parts.append(rows.withColumns({confidence(t): F.lit(None).cast("double") for t in missing}))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def topic_column(word: Column, columns: int = TOPIC_COLUMNS) -> Column:
+    """The column of the topic model that a word counts in; words may share one."""
+    return F.pmod(F.xxhash64(word), F.lit(columns)).cast("int")
+
+
+def topic_word_counts(texts: DataFrame, text: str = "customer_text_clean", columns: int = TOPIC_COLUMNS) -> DataFrame:
+    """Every word with its column, occurrences and the texts that hold it; combined map-side, kept by Spark.
+
+    A word enters once per occurrence and once per text, so no text's words are compared with each other.
+    """
+    found = words(F.col(text))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def cells(values: Column, occurrences: Column, holders: Column) -> Column:
+        return F.transform(values, lambda w: F.struct(w.alias("term"), occurrences.alias("o"), holders.alias("t")))
+
+    rows = texts.select(F.inline(F.concat(cells(found, one, none), cells(F.array_distinct(found), none, one))))
+    counted = rows.groupBy("term").agg(F.sum("o").alias("occurrences"), F.sum("t").alias("texts"))
+    return counted.select("term", topic_column(F.col("term"), columns).alias("term_index"), "occurrences", "texts")
+
+
+def discover_topics(
+    texts: DataFrame,
+    text: str = "customer_text_clean",
+    k: int = 8,
+    terms: int = 10,
+    columns: int = TOPIC_COLUMNS,
+    max_iterations: int = LDA_MAX_ITERATIONS,
+) -> DataFrame:
     """Topics found without labels, as weighted terms. [choice] LDA over every word of every text.
 
-    Each iteration draws as many texts as there are, with replacement. The iterations are doubled until the
-    perplexity of all texts settles. The driver holds `k` weights and the string of every distinct word.
+    Words are counted in hashed columns, so the model, and with it the driver, holds `k` times `columns` weights
+    whatever the vocabulary. The words come back by a join: a column's weight is shared out among its words by
+    their occurrences. Each iteration draws as many texts as there are, with replacement; iterations are doubled until the
+    perplexity of all texts settles, or `max_iterations` are done.
     """
-    tokens = texts.select(words(F.col(text)).alias("words"))
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=(1 << 31) - 1, minDF=1.0).fit(tokens)
-    path = scratch_path(texts.sparkSession, "topic-words")
-    counter.transform(tokens).select("features").write.parquet(path)
-    counted = texts.sparkSession.read.parquet(path)
-    iterations, before = LDA_ITERATIONS, math.inf
+    spark = texts.sparkSession
+    numbered = F.transform(F.coalesce(words(F.col(text)), F.array()), lambda w: topic_column(w, columns).cast("string"))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(columns)], "columns", "features")
+    path = scratch_path(spark, "topic-columns")
+    counter.transform(texts.select(numbered.alias("columns"))).select("features").write.parquet(path)
+    counted = spark.read.parquet(path)
+    iterations, before = min(LDA_ITERATIONS, max_iterations), math.inf
     while True:
         # Whole passes instead of small batches: the first steps may be long ones.
         lda = LDA(k=k, seed=RANDOM_SEED, maxIter=iterations, optimizer="online", subsamplingRate=1.0, learningOffset=1.0)
         model = lda.fit(counted)
         now = model.logPerplexity(counted)
-        if abs(before - now) <= LDA_TOLERANCE * abs(now):
+        if abs(before - now) <= LDA_TOLERANCE * abs(now) or iterations >= max_iterations:
             break
-        iterations, before = 2 * iterations, now
-    vocabulary = texts.sparkSession.createDataFrame(
-        list(enumerate(counter.vocabulary)), "term_index int, term string"
+        iterations, before = min(2 * iterations, max_iterations), now
+    path = scratch_path(spark, "topic-words")
+    topic_word_counts(texts, text, columns).write.parquet(path)
+    vocabulary = spark.read.parquet(path)
+    totals = vocabulary.groupBy("term_index").agg(F.sum("occurrences").alias("_total"))
+    described = model.describeTopics(columns).select("topic", F.inline(F.arrays_zip("termIndices", "termWeights")))
+    weights = described.join(totals, F.col("termIndices") == F.col("term_index")).select(
+        "topic", "term_index", (F.col("termWeights") / F.col("_total")).alias("_each")
     )
-    described = model.describeTopics(terms).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")))
-    return described.select(
-        "topic",
-        F.col("pos").alias("position"),
-        F.col("col.termIndices").alias("term_index"),
-        F.col("col.termWeights").alias("weight"),
-    ).join(vocabulary, "term_index")
+    shared = vocabulary.join(weights, "term_index").withColumn("weight", F.col("_each") * F.col("occurrences"))
+    order = W.partitionBy("topic").orderBy(F.col("weight").desc(), "term")
+    ranked = shared.withColumn("position", F.row_number().over(order) - 1).filter(F.col("position") < terms)
+    return ranked.select("topic", "position", "term", "term_index", "weight", "occurrences", "texts")
 
 
 def classifier_metrics(scored: DataFrame, topics: Sequence[str] = TOPICS) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..channels import Channel
+from ..operators.calibration import calibrate
 from ..operators.corrections import (
     apply_corrections,
     combine_corrections,
@@ -31,9 +32,18 @@ def prepare(final: DataFrame, channel: Channel) -> DataFrame:
     return cleaned.withColumn("model_family", model_family(F.lit(channel.name)))
 
 
-def score(texts: DataFrame, models: Mapping[str, tuple[Transformer, list[str]]]) -> DataFrame:
-    """Topic labels and confidences per record; map-only over the texts."""
-    scored = withhold_level3(score_topics(featurize(texts), models))
+def score(
+    texts: DataFrame, models: Mapping[str, tuple[Transformer, list[str]]], calibration: DataFrame | None = None
+) -> DataFrame:
+    """Topic labels and confidences per record; map-only over the texts.
+
+    With the training run's calibration table the confidences, and so all thresholds on them, are
+    chances of being right.
+    """
+    scored = score_topics(featurize(texts), models)
+    if calibration is not None:
+        scored = calibrate(scored, calibration, [t for t in TOPICS if t in scored.columns])
+    scored = withhold_level3(scored)
     return scored.select("record_id", *TOPICS, *[confidence(t) for t in TOPICS])
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scoring import TOPICS, score_topics
+from ..operators.calibration import calibration_counts, calibration_table
+from ..operators.scoring import TOPICS
 from ..operators.text import clean_prep, model_family
 from ..operators.training import (
     SYNTHETIC_ALLOWED,
     classifier_metrics,
+    cross_score,
     featurize,
     train_topics,
     training_gate,
@@ -44,8 +46,9 @@ def run_training(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Train all topics when the gate says so. Returns the gate's row and the metrics of the new models.
 
-    Features are written once and read by every fit. The metrics are those on
-    the training rows; the baseline moves only after they are stored.
+    Features are written once and read by every fit. Metrics and calibration come from
+    predictions on rows their models have not seen; the models themselves are then fitted on
+    all rows. The baseline moves only after all of it is stored.
     """
     baseline = f"{folder}/training_record_baseline"
     gate = training_gate(corrected, last_trained_count(spark, baseline), minimum)
@@ -55,9 +58,10 @@ def run_training(
         return fixed, None
     training_features(training_merge(base, corrected)).write.mode("overwrite").parquet(f"{folder}/features")
     featured = spark.read.parquet(f"{folder}/features")
-    models = train_topics(featured, f"{folder}/models")
-    scored = score_topics(featured.withColumnsRenamed({t: f"true_{t}" for t in TOPICS}), models)
-    trained = [t for t in TOPICS if t in scored.columns]
-    classifier_metrics(scored, trained).write.mode("overwrite").parquet(f"{folder}/metrics")
+    cross_score(featured, f"{folder}/fold_models").drop("features").write.mode("overwrite").parquet(f"{folder}/out_of_fold")
+    scored = spark.read.parquet(f"{folder}/out_of_fold")
+    classifier_metrics(scored).write.mode("overwrite").parquet(f"{folder}/metrics")
+    calibration_table(calibration_counts(scored)).write.mode("overwrite").parquet(f"{folder}/calibration")
+    train_topics(featured, f"{folder}/models")
     write_baseline(spark, baseline, decision.current_record_count)
     return fixed, spark.read.parquet(f"{folder}/metrics")

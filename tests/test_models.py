@@ -7,10 +7,28 @@ import re
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from surveylake.operators.calibration import (
+    calibrate,
+    calibration_counts,
+    calibration_error,
+    calibration_table,
+    pool_adjacent,
+)
 from surveylake.operators.scoring import TOPICS, model_key, score_topics, withhold_level3
-from surveylake.operators.training import classifier_metrics, discover_topics, featurize, topic_training_rows, train_topics
+from surveylake.operators.training import (
+    classifier_metrics,
+    cross_score,
+    discover_topics,
+    featurize,
+    fold_of,
+    topic_training_rows,
+    topic_word_counts,
+    train_topics,
+)
 from surveylake.session import scratch_path
 
 ROWS = [
@@ -109,3 +127,104 @@ def test_topics_are_found_over_every_word(spark):
 
 def test_topic_order():
     assert len(TOPICS) == 6 and TOPICS[0] == "overall_sentiment"
+
+
+# --- parts, calibration, hashed topics --------------------------------------------------------
+
+
+def test_no_row_is_scored_by_its_own_model(spark, featured):
+    topics, folder = ["is_urgent"], scratch_path(spark, "folds")
+    scored = cross_score(featured, folder, topics, folds=3)
+    rows = {r.record_id: r for r in scored.collect()}
+    assert sorted(rows) == [r[0] for r in ROWS]
+    parted = {r.record_id: r.fold for r in featured.select("record_id", fold_of(F.col("record_id"), 3).alias("fold")).collect()}
+    assert {r.fold for r in rows.values()} == set(parted.values()) and len(set(parted.values())) > 1
+    for part in set(parted.values()):
+        others = featured.filter(F.col("record_id").isin([i for i, f in parted.items() if f != part]))
+        model, labels = train_topics(others, scratch_path(spark, "other"), topics)["is_urgent"]
+        for row in featured.filter(F.col("record_id").isin([i for i, f in parted.items() if f == part])).collect():
+            good = 1 / (1 + math.exp(-(float(model.coefficients.dot(row.features)) + model.intercept)))
+            got = rows[row.record_id]
+            assert got.is_urgent_confidence == pytest.approx(max(good, 1 - good)) and got.true_is_urgent == row.is_urgent
+
+
+def test_parts_without_a_model_have_no_prediction(spark, featured):
+    one = featured.filter("is_urgent = 'good'")
+    rows = cross_score(one, scratch_path(spark, "folds"), ["is_urgent"], folds=2).collect()
+    assert len(rows) == 4 and all(r.is_urgent is None and r.is_urgent_confidence is None for r in rows)
+    repeated = spark.createDataFrame([(1,), (1,), (None,)], "record_id int").select(fold_of(F.col("record_id"))).collect()
+    assert repeated[0] == repeated[1] and repeated[2][0] == 0
+
+
+def best_shares(counts):
+    """The non-decreasing fit as the largest of the least mean shares."""
+    n = len(counts)
+
+    def share(j, k):
+        return sum(c for _, c in counts[j : k + 1]) / sum(r for r, _ in counts[j : k + 1])
+
+    return [max(min(share(j, k) for k in range(i, n)) for j in range(i + 1)) for i in range(n)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30).flatmap(lambda n: st.tuples(st.just(n), st.integers(0, n))), min_size=1, max_size=12))
+def test_pooled_shares_are_the_best_ones(counts):
+    fitted = pool_adjacent(counts)
+    assert fitted == pytest.approx(best_shares(counts)) and fitted == sorted(fitted)
+
+
+def calibration_rows(spark):
+    rows = [(i, "default" if i % 2 else "sms_web", i / 200, "a", "a" if (i * 7919) % 200 < i * (1 if i % 2 else 0.5) else "b") for i in range(200)]
+    rows += [(500, "default", None, None, "a"), (501, "default", 1.0, "a", None), (502, "default", 1.0, "a", "a")]
+    schema = "record_id int, model_family string, level2_category_confidence double, level2_category string, true_level2_category string"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_calibration_by_family_and_step(spark):
+    scored, topics = calibration_rows(spark), ["level2_category"]
+    counts = calibration_counts(scored, topics)
+    assert counts.agg(F.sum("rows")).first()[0] == 201
+    table = calibration_table(counts)
+    fitted = {(r.model_family, r.bin): r for r in table.collect()}
+    assert len(fitted) == 2 * 101
+    for family in ("default", "sms_web"):
+        known = sorted((r.bin, r.rows, r.correct) for (f, _), r in fitted.items() if f == family and r.rows)
+        expected = best_shares([(n, c) for _, n, c in known])
+        assert [fitted[family, b].calibrated for b, *_ in known] == pytest.approx(expected)
+        every = [fitted[family, b].calibrated for b in range(101)]
+        assert every == sorted(every)
+    path = scratch_path(spark, "calibration")
+    table.write.parquet(path)
+    own = {r.record_id: r.level2_category_confidence for r in scored.collect()}
+    for row in calibrate(scored, spark.read.parquet(path), topics).collect():
+        new, old = row.level2_category_confidence, own[row.record_id]
+        assert new == (None if old is None else fitted[row.model_family, math.floor(old * 100)].calibrated)
+
+
+def test_calibrated_confidences_are_nearer_to_the_truth(spark):
+    scored, topics = calibration_rows(spark), ["level2_category"]
+    path = scratch_path(spark, "calibration")
+    calibration_table(calibration_counts(scored, topics)).write.parquet(path)
+    before, after = (
+        calibration_error(df, topics).first().calibration_error
+        for df in (scored, calibrate(scored, spark.read.parquet(path), topics))
+    )
+    assert after < before
+    none = calibrate(scored, spark.read.parquet(path).limit(0), topics)
+    assert calibration_error(none, topics).first().calibration_error == before
+
+
+def test_words_come_back_from_shared_columns(spark):
+    texts = [("bill payment charge bill",), ("power outage storm",), (None,), ("",)] * 5
+    df = spark.createDataFrame(texts, "customer_text_clean string")
+    counts = {r.term: (r.occurrences, r.texts) for r in topic_word_counts(df, columns=4).collect()}
+    assert counts == {"bill": (10, 5), **{w: (5, 5) for w in ("payment", "charge", "power", "outage", "storm")}}
+    rows = discover_topics(df, k=2, terms=10, columns=4, max_iterations=10).collect()
+    assert {r.term for r in rows} == set(counts) and len(rows) == 12
+    columns = {}
+    for r in rows:
+        columns.setdefault((r.topic, r.term_index), []).append((r.weight / r.occurrences))
+    # Words of one column share its weight by their occurrences.
+    assert all(max(each) == pytest.approx(min(each)) for each in columns.values())
+    for topic in (0, 1):
+        assert sum(r.weight for r in rows if r.topic == topic) == pytest.approx(1, abs=0.05)
