@@ -46,7 +46,8 @@ def test_each_stage_is_its_brute_force(spark, small, docs_small, tmp_path):
     weights = mixing.cycled_weights(list(sizes))
     for source, aim in zip(weights, mixing.targets([sizes[s] for s in weights], list(weights.values()))):
         smallest = min(len(r.text.encode().split()) for r in clean if r.source == source)
-        assert 0 <= aim + 1 - taken[source] <= max(smallest, 0.1 * aim) + 1
+        # The last document of a source is the one that comes nearest, so a target may be passed by a little.
+        assert abs(aim - taken[source]) <= max(smallest, 0.1 * aim) + 1
     assert Counter(r.doc_id for r in sharded) == copies
     totals = Counter()
     for r in sharded:
