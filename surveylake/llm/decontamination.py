@@ -7,29 +7,34 @@ that holds at least `threshold` of the item's distinct shingles.
 
 The index is made of the items, partitioned by size (number of distinct shingles,
 in powers of two). A partition keeps of every item its `k` smallest shingle
-hashes, where `k` is one more than the shingles an item of the partition's largest
-size may miss. A document that holds enough of an item therefore shares at least one of
-them (of a set with at most `k - 1` missing members, `k` members can't all
-be missing): the search loses nothing. Each candidate is verified by the exact
-shingles, compared word by word.
+hashes (its bottom-k sketch), where `k` is one more than the shingles an item of the partition's
+largest size may miss. An item of `n` shingles may miss `n - ceil(threshold * n)`, so a document that
+holds enough of it shares at least `need`, the rest of its sketch, which is one or more: the search loses nothing.
 
-Documents are read once; only shingles that occur in some item leave the scan.
+Two steps. The search joins the hashes of all documents' shingles with the sketches alone; a document that
+reaches an item's `need` is a candidate for it. Only candidate documents are then cut again and their
+candidate items verified by all shingles, compared word by word.
 
 Defined results: null and empty texts match nothing and are found nowhere; repeated item rows
 count once per item id and text; documents with the same id are judged row by row, and one match of
 (doc_id, item_id) is reported, the fullest; empty tables give no rows; other columns of the inputs are ignored.
+Texts are cut whole, however long: a task holds one text's words, and its shingles leave the task as rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .words import stored
+
 SHINGLE = 5
 THRESHOLD = 0.8
-# Up to so many item shingles (some 100 bytes each) are broadcast; beyond that the join shuffles.
-BROADCAST_SHINGLES = 500_000
+# The search broadcasts up to so many sketch rows; they are of fixed size (two longs, two ints), 32 MB at most.
+BROADCAST_SKETCHES = 500_000
+# The verification broadcasts the items' shingles up to so many bytes of words; beyond either bound the join shuffles.
+BROADCAST_BYTES = 32 << 20
 
 
 def shingle_rows(rows: DataFrame, width: int = SHINGLE) -> DataFrame:
@@ -54,9 +59,10 @@ def shingle_columns(width: int = SHINGLE) -> list[str]:
 
 
 def item_index(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per item text and distinct shingle: `item_id`, `item_text`, `item_shingles`, `size_class`, `rank`, `sketch`, `s1`...
+    """One row per item text and distinct shingle: `item_id`, `item_text`, `item_shingles`, `size_class`, `rank`, `sketch`, `need`, `s1`...
 
-    `rank` orders the shingles of an item by hash, from 1; `sketch` marks those of its bottom-k sketch.
+    `rank` orders the shingles of an item by hash, from 1; `sketch` marks those of its bottom-k sketch, of which
+    a document has to share `need`.
     """
     names = shingle_columns()
     kept = items.select("item_id", F.xxhash64("text").alias("item_text"), "text").distinct()
@@ -69,26 +75,70 @@ def item_index(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     size_class = F.ceil(F.log2("item_shingles")).cast("int")
     largest = F.pow(F.lit(2.0), F.col("size_class"))
-    k = largest - F.ceil(largest * threshold - 1e-9) + 1
-    return ranked.withColumn("size_class", size_class).withColumn("sketch", F.col("rank") <= k)
+    k = (_may_miss(largest, threshold) + 1).cast("int")
+    need = (F.least(F.col("_k"), F.col("item_shingles")) - _may_miss(F.col("item_shingles"), threshold)).cast("int")
+    return (
+        ranked.withColumn("size_class", size_class)
+        .withColumn("_k", k)
+        .withColumns({"sketch": F.col("rank") <= F.col("_k"), "need": need})
+        .drop("_k")
+    )
+
+
+def _may_miss(size: Column, threshold: float) -> Column:
+    return size - F.ceil(size * threshold - 1e-9)
+
+
+def candidates(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """Pairs of a document row (`doc_id`, hash `doc_text` of its text) and an `item` (hash of id and text) that share enough of the sketch.
+
+    Items whose hashes are equal count as one here, which can only add a pair to verify.
+    """
+    names = shingle_columns()
+    hashed = F.xxhash64(*names).alias("_hash")
+    sketches = index.filter("sketch").select(hashed, _item(), F.col("rank").cast("int"), "need")
+    if index.filter("sketch").count() <= BROADCAST_SKETCHES:
+        sketches = F.broadcast(sketches)
+    return (
+        shingle_rows(docs.select("doc_id", F.xxhash64("text").alias("doc_text"), "text"))
+        .select("doc_id", "doc_text", hashed)
+        .join(sketches, "_hash")
+        .groupBy("doc_id", "doc_text", "item")
+        .agg(F.count_distinct("rank").alias("_shared"), F.min("need").alias("_need"))
+        .filter("_shared >= _need")
+        .select("doc_id", "doc_text", "item")
+    )
+
+
+def _item() -> Column:
+    return F.xxhash64("item_id", "item_text").alias("item")
 
 
 def _pairs(docs: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
     """Verified pairs of a document row (its id and the hash of its text) and an item's text."""
-    rows = shingle_rows(docs.select("doc_id", F.xxhash64("text").alias("doc_text"), "text"))
-    members = index if index.count() > BROADCAST_SHINGLES else F.broadcast(index)
-    return (
+    found = stored(candidates(docs, index), "benchmark-candidates")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("doc_text"), "text").alias("d")
+    ids = found.select("doc_id", "doc_text").distinct().alias("f")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.doc_text") == F.col("f.doc_text"))
+    rows = shingle_rows(keyed.join(ids, same, "left_semi"))
+    members = index.withColumn("item", _item()).join(found.select("item").distinct(), "item", "left_semi")
+    words = sum((F.octet_length(c) for c in shingle_columns()), F.lit(0))
+    if (index.agg(F.sum(words)).first()[0] or 0) <= BROADCAST_BYTES:
+        members = F.broadcast(members)
+    verified = (
         rows.join(members, shingle_columns())
-        .groupBy("doc_id", "doc_text", "item_id", "item_text")
-        .agg(
-            F.max("item_shingles").alias("item_shingles"),
-            F.count_distinct("rank").alias("matched"),
-            F.max("sketch").alias("candidate"),
-        )
-        .filter(F.col("candidate"))
+        .groupBy("doc_id", "doc_text", "item_id", "item_text", "item")
+        .agg(F.max("item_shingles").alias("item_shingles"), F.count_distinct("rank").alias("matched"))
         .withColumn("containment", F.col("matched") / F.col("item_shingles"))
         .filter(F.col("containment") >= threshold)
+        .alias("v")
+    )
+    pair = (
+        F.col("v.doc_id").eqNullSafe(F.col("c.doc_id"))
+        & (F.col("v.doc_text") == F.col("c.doc_text"))
+        & (F.col("v.item") == F.col("c.item"))
     )
+    return verified.join(found.alias("c"), pair, "left_semi").drop("item")
 
 
 def find_items(docs: DataFrame, index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

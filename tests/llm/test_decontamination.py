@@ -61,7 +61,8 @@ def test_sketch_sizes_lose_nothing(spark):
 def test_shuffled_join_agrees(spark, docs_small, small, monkeypatch):
     index = decontamination.item_index(spark.read.parquet(f"{small}/benchmark.parquet")).cache()
     expected = sorted(map(tuple, decontamination.find_items(docs_small, index).collect()))
-    monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_SKETCHES", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, decontamination.find_items(docs_small, index).collect())) == expected
 
 
@@ -74,3 +75,35 @@ def test_clean_documents_keep_their_columns(spark):
     none = decontamination.item_index(items.limit(0))
     assert decontamination.clean_documents(docs, none).count() == 12
     assert decontamination.clean_documents(awkward(spark, []), none).count() == 0
+
+
+def test_search_goes_through_the_sketch(spark):
+    """Without sketch rows nothing is found, and a part of an item under the sketch's need makes no candidate."""
+    item = spark.createDataFrame([ITEMS[5]], "item_id long, text string")
+    index = decontamination.item_index(item).cache()
+    words = ITEMS[5][1].split()
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:12])), (3, " ".join(words[:50]))], "doc_id long, text string")
+    assert {r.doc_id for r in decontamination.find_items(docs, index).collect()} == {1, 3}
+    near = {r.doc_id for r in decontamination.candidates(docs, index).collect()}
+    assert {1, 3} <= near
+    bare = index.withColumn("sketch", index.rank < 0)
+    assert decontamination.find_items(docs, bare).count() == 0
+    need = {(r.item_shingles, r.need) for r in index.collect()}
+    assert need == {(56, 13 - 11)}  # sizes up to 64 may miss 12, so 13 are kept; 56 may miss 11
+
+
+def test_candidates_hold_every_match(spark):
+    """Every way of losing as many shingles as allowed, at the sizes next to a class's ends."""
+    rows = []
+    for n in (1, 2, 4, 5, 8, 9, 16, 17, 32, 33):
+        rows.append((n, " ".join(f"x{n}y{i}" for i in range(n + 4))))
+    index = decontamination.item_index(spark.createDataFrame(rows, "item_id long, text string")).cache()
+    docs = []
+    for n, text in rows:
+        words = text.split()
+        lost = n - -(-8 * n // 10)
+        for start in range(lost + 1):
+            docs.append((len(docs), "a b " + " ".join(words[start : start + n + 4 - lost]) + " c d"))
+    found = {(r.doc_id, r.item_id): r.containment for r in decontamination.find_items(
+        spark.createDataFrame(docs, "doc_id long, text string"), index).collect()}
+    assert found == brute(docs, rows) and len(found) == len(docs)
