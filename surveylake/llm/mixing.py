@@ -3,7 +3,8 @@
 A document may belong to several sources. Documents are aggregated by the sources they
 belong to (the pattern); a pattern's tokens flow to the quotas of its sources. The first pass over a
 pattern costs nothing and each further pass costs more than the one before, so the
-cheapest flow repeats as evenly as the quotas allow. The flow of a pattern is then
+cheapest flow repeats as evenly as the quotas allow. Only patterns connected by shared sources need a flow of their own;
+one that shares none gets its sources' quotas outright. The flow of a pattern is then
 spent on documents: whole passes over all of them, and for the rest a seeded selection.
 
 The selection orders a pattern's documents by a seeded hash, cut into buckets of
@@ -15,8 +16,8 @@ here a document may be taken again, but never more than `MAX_PASSES` times.
 
 Defined results: a null or empty text has size 0 and is taken 0; a null source is a
 source of its own, last in order; rows of one id and text share the hash and
-are taken alike; without any tokens all targets are 0; an empty table gives no
-rows; other columns stay with their rows, those named like a result column are replaced.
+are taken alike; a very long text is one document, counted whole; without any tokens all targets are 0; an empty table gives no
+rows; the driver holds one row per pattern and source, however many; other columns stay with their rows, those named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 BUCKETS = 4096
 FILL_ROUNDS = 6
-# Patterns and sources are planned on the driver; more of them are an error, not a cut.
-MAX_PATTERNS = 100_000
+# Tables of one row per pattern are broadcast up to so many rows; beyond that Spark chooses the join.
+BROADCAST_PATTERNS = 100_000
 SEED = 20240501
 
 
@@ -56,7 +57,8 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float | None
         for i in over:
             result[i] = float(limit * sizes[i])
         rest -= sum(result[i] for i in over)
-        free = [i for i in free if i not in set(over)]
+        settled = set(over)
+        free = [i for i in free if i not in settled]
     return result
 
 
@@ -140,12 +142,49 @@ def _pattern(sources: Column) -> Column:
 def pattern_plan(
     sizes: dict[str, int], quota_of: dict[str | None, float], passes: int = MAX_PASSES
 ) -> dict[str, tuple[int, int]]:
-    """Per pattern, the whole passes over its documents and the tokens wanted beyond them."""
-    patterns, names = sorted(sizes), list(quota_of)
-    place = {name: i for i, name in enumerate(names)}
-    members = [[place[s] for s in json.loads(p)["s"]] for p in patterns]
-    flows = cheapest_flow([sizes[p] for p in patterns], members, [round(quota_of[n]) for n in names], passes)
-    return {p: divmod(sum(f), sizes[p]) if sizes[p] else (0, 0) for p, f in zip(patterns, flows)}
+    """Per pattern, the whole passes over its documents and the tokens wanted beyond them.
+
+    Patterns that share no source, directly or through others, can't compete for a quota, so each connected group is
+    planned alone, which is exact. A pattern that is alone has no choice: it gives its sources what they ask for, up to its passes.
+    """
+    members = {p: json.loads(p)["s"] for p in sorted(sizes)}
+    group: dict[str | None, str | None] = {}  # sources, each pointing towards the first of its group
+
+    def first(name: str | None) -> str | None:
+        while group[name] != name:
+            group[name] = group[group[name]]
+            name = group[name]
+        return name
+
+    for names in members.values():
+        for name in names:
+            group.setdefault(name, name)
+            group[first(name)] = first(names[0])
+    together: dict[str | None, list[str]] = {}
+    plan = {}
+    for pattern, names in members.items():
+        if names:
+            together.setdefault(first(names[0]), []).append(pattern)
+        else:
+            plan[pattern] = (0, 0)
+    for patterns in together.values():
+        names = list(dict.fromkeys(name for p in patterns for name in members[p]))
+        quotas = [round(quota_of[name]) for name in names]
+        if len(patterns) == 1:
+            given = [min(passes * sizes[patterns[0]], sum(quotas))]
+        else:
+            place = {name: i for i, name in enumerate(names)}
+            flows = cheapest_flow([sizes[p] for p in patterns], [[place[n] for n in members[p]] for p in patterns], quotas, passes)
+            given = [sum(flow) for flow in flows]
+        for p, amount in zip(patterns, given):
+            plan[p] = divmod(amount, sizes[p]) if sizes[p] else (0, 0)
+    return plan
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Rows of the driver's plan, broadcast only while they are few."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_PATTERNS else table
 
 
 def _unsigned(key: Column) -> Column:
@@ -157,7 +196,7 @@ def _cuts(units: DataFrame, plan: dict[str, tuple[int, int]], buckets: int) -> d
     """Per pattern, the first key that isn't selected, and the tokens still free before it."""
     bucket = F.shiftrightunsigned(F.col("_key"), 64 - (buckets - 1).bit_length()).cast("int")
     quotas = [(p, quota) for p, (_, quota) in plan.items()]
-    wanted = F.broadcast(units.sparkSession.createDataFrame(quotas, "_pattern string, _quota long"))
+    wanted = small_table(units.sparkSession, quotas, "_pattern string, _quota long")
     earlier = W.partitionBy("_pattern").rowsBetween(W.unboundedPreceding, -1)
     sums = units.withColumn("_bucket", bucket).groupBy("_pattern", "_bucket").agg(F.sum("weight").alias("weight"))
     begun = (
@@ -166,7 +205,8 @@ def _cuts(units: DataFrame, plan: dict[str, tuple[int, int]], buckets: int) -> d
         .filter("_before <= _quota and _before + weight > _quota")
         .select("_pattern", "_bucket", (F.col("_quota") - F.col("_before")).alias("_left"))
     )
-    inside = units.withColumn("_bucket", bucket).join(F.broadcast(begun), ["_pattern", "_bucket"])
+    begun = F.broadcast(begun) if len(plan) <= BROADCAST_PATTERNS else begun  # one row per pattern at most
+    inside = units.withColumn("_bucket", bucket).join(begun, ["_pattern", "_bucket"])
     upto = F.coalesce(F.sum("weight").over(earlier.orderBy(_unsigned(F.col("_key")))), F.lit(0))
     first = (
         inside.withColumn("_upto", upto)
@@ -184,8 +224,8 @@ class Selection:
     more: DataFrame | None = None  # `_pattern`, `_key` and `_more` of documents taken after the cut; any number
 
     def copies(self, rows: DataFrame) -> DataFrame:
-        """Add `_copies` to rows with `_pattern` and `_key`. The table is bounded by `MAX_PATTERNS` rows and is broadcast."""
-        joined = rows.join(F.broadcast(self.table), "_pattern")
+        """Add `_copies` to rows with `_pattern` and `_key`. The table has one row per pattern."""
+        joined = rows.join(self.table, "_pattern")
         joined = joined.withColumn("_copies", _copies()).drop("_passes", "_cut", "_extra")
         if self.more is None:
             return joined
@@ -212,12 +252,12 @@ def select_documents(
 
     def selection() -> Selection:
         rows = [(p, passes, cuts[p][0] if p in cuts else None, extra[p]) for p, (passes, _) in plan.items()]
-        return Selection(spark.createDataFrame(rows, "_pattern string, _passes int, _cut long, _extra array<long>"), more)
+        return Selection(small_table(spark, rows, "_pattern string, _passes int, _cut long, _extra array<long>"), more)
 
     def free(condition: str) -> DataFrame:
         """Units of open patterns, with the pattern's `_gap`, that may be taken once more."""
-        gap = spark.createDataFrame([x for x in gaps.items() if x[1] > 0], "_pattern string, _gap long")
-        return selection().copies(units).filter(F.col("_copies") < MAX_PASSES).join(F.broadcast(gap), "_pattern").filter(condition)
+        gap = small_table(spark, [x for x in gaps.items() if x[1] > 0], "_pattern string, _gap long")
+        return selection().copies(units).filter(F.col("_copies") < MAX_PASSES).join(gap, "_pattern").filter(condition)
 
     def take_nearest(condition: str) -> None:
         if not any(gap > 0 for gap in gaps.values()):
@@ -237,11 +277,11 @@ def select_documents(
         least = sums.groupBy("_pattern").agg(F.min(F.struct("_copies", "weight")).alias("least")).collect()
         if not least:
             break
-        levels = spark.createDataFrame([(r["_pattern"], r.least["_copies"]) for r in least], "_pattern string, _copies int")
-        level = stored(fitting.join(F.broadcast(levels), ["_pattern", "_copies"]).select("_pattern", "_key", "weight"), "mixing-fitting")
+        levels = small_table(spark, [(r["_pattern"], r.least["_copies"]) for r in least], "_pattern string, _copies int")
+        level = stored(fitting.join(levels, ["_pattern", "_copies"]).select("_pattern", "_key", "weight"), "mixing-fitting")
         ends = _cuts(level, {r["_pattern"]: (0, gaps[r["_pattern"]]) for r in least}, buckets)
         last = [(r["_pattern"], ends[r["_pattern"]][0] if r["_pattern"] in ends else None) for r in least]
-        end = F.broadcast(spark.createDataFrame(last, "_pattern string, _end long"))
+        end = small_table(spark, last, "_pattern string, _end long")
         inside = F.col("_end").isNull() | (_unsigned(F.col("_key")) < _unsigned(F.col("_end")))
         taken = level.join(end, "_pattern").filter(inside).select("_pattern", "_key", F.lit(1).alias("_more"))
         taken = taken if more is None else taken.unionByName(more).groupBy("_pattern", "_key").agg(F.sum("_more").cast("int").alias("_more"))
@@ -268,9 +308,7 @@ def keyed(docs: DataFrame, sources: Column, seed: int = SEED) -> DataFrame:
 
 def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS) -> Mix:
     """Targets, flow and selection for stored rows with `_key`, `_pattern` and `size`."""
-    rows = sized.groupBy("_pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; merge rare sources first")
+    rows = sized.groupBy("_pattern").agg(F.sum("size").alias("size")).collect()
     by_pattern = {row["_pattern"]: row["size"] for row in rows}
     sizes: dict[str | None, int] = {}
     for pattern, size in by_pattern.items():

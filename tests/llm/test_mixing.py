@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 from collections import Counter, defaultdict
 
 from helpers import awkward
@@ -110,14 +111,33 @@ def test_awkward_rows(spark):
     assert mixing.mix_documents(empty, F.array("source")).count() == 0
 
 
-def test_patterns_beyond_the_bound_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
-    docs = spark.createDataFrame([(i, "a", str(i)) for i in range(9)], "doc_id long, text string, source string")
-    try:
-        mixing.plan_mix(mixing.sizes_of(docs, F.array("source")))
-    except ValueError:
-        return
-    raise AssertionError
+@settings(max_examples=150, deadline=None)
+@given(
+    st.dictionaries(st.frozensets(st.integers(0, 5), min_size=1, max_size=3), st.integers(0, 40), min_size=1, max_size=7),
+    st.lists(st.integers(0, 90), min_size=6, max_size=6),
+)
+def test_groups_planned_alone_are_the_whole_flow(patterns, quotas):
+    sizes = {json.dumps({"s": sorted(map(str, names))}): size for names, size in patterns.items()}
+    names = sorted({str(n) for group in patterns for n in group})
+    quota_of = {n: float(quotas[int(n)]) for n in names}
+    plan = mixing.pattern_plan(sizes, quota_of)
+    ordered = sorted(sizes)
+    members = [[names.index(n) for n in json.loads(p)["s"]] for p in ordered]
+    whole = [sum(f) for f in mixing.cheapest_flow([sizes[p] for p in ordered], members, [round(quota_of[n]) for n in names])]
+    planned = [plan[p][0] * sizes[p] + plan[p][1] for p in ordered]
+    assert sum(planned) == sum(whole)
+    assert cost(planned, [sizes[p] for p in ordered]) == cost(whole, [sizes[p] for p in ordered])
+
+
+def test_many_sources_are_planned_and_joined_without_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_PATTERNS", 3)
+    rows = [(i, " ".join("w" for _ in range(1 + i % 9)), f"s{i % 700}") for i in range(4200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing.sizes_of(docs, F.array("source"), keep=["doc_id", "source"])
+    mix = mixing.plan_mix(sized)
+    taken = {r.source: r.t for r in mix.selection.copies(sized).groupBy("source").agg(F.sum(F.col("size") * F.col("_copies")).alias("t")).collect()}
+    assert len(taken) == 700 == len(mix.sources)
+    assert all(abs(taken[name] - target) <= 9 for name, (_, target) in mix.sources.items())
 
 
 def test_sources_of_equal_rows(spark):
