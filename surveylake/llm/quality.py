@@ -2,12 +2,13 @@
 
 Every rule is evaluated once per document; the ledger keeps the measurements and
 one long whose bit i says that rule i failed. A policy is a named, versioned mask:
-a document is kept where `bits & mask` is 0. Changing a policy, or asking what a
-rule costs, reads the ledger only and never the texts again.
+a document is kept where `bits & mask` is 0. The ledger is stored with the number of rules it knows;
+changing a policy, or asking what a rule costs, reads it and never the texts again.
 
 Defined results: a null or empty text has all measurements 0 and fails `few_words`
 only; repeated rows are judged each for itself; an empty table gives an empty
-ledger; other columns are ignored, and a caller joins or appends as needed.
+ledger; very long texts are measured whole, each in a piece of its own; other columns are ignored, and a caller
+joins or appends as needed; a policy with a rule that a stored ledger does not know is an error.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveylake.llm.words import Words, pieces, raw_bytes, split_words, sums_between, word_spans
+from surveylake.sources.tables import partition_values
 
 WINDOW = 8
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -137,6 +139,20 @@ def ledger(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     return source.mapInArrow(run, schema).withColumn("bits", failure_bits())
 
 
+def write_ledger(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Store the ledger of these documents under the number of its rules and read it back."""
+    ledger(docs, keep).write.parquet(f"{path.rstrip('/')}/rules={len(RULES)}")
+    return read_ledger(docs.sparkSession, path)
+
+
+def read_ledger(spark: SparkSession, path: str, policy: int = CURRENT) -> DataFrame:
+    """The stored ledger that knows most rules, with that number as `rules`; the policy has to be among them."""
+    known = max((int(n) for n in partition_values(spark, path, "rules")), default=0)
+    if POLICIES[policy] >> known:
+        raise ValueError(f"policy {policy} has rules that the ledger at {path} does not know; judge the texts again")
+    return spark.read.parquet(f"{path.rstrip('/')}/rules={known}").withColumn("rules", F.lit(known))
+
+
 def failed(bits: Column, rules: int) -> Column:
     return bits.bitwiseAND(F.lit(rules).cast("long")) != 0
 

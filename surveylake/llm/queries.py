@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,12 +88,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = mixing.sizes_of(docs, F.array("source"), keep=["doc_id", "source"])
     mix = mixing.plan_mix(sized)
-    per_source = spark.createDataFrame(
+    per_source = mixing.small_table(
+        spark,
         [(name, size, target) for name, (size, target) in mix.sources.items()],
         "source string, source_size long, target double",
     ).withColumnRenamed("source", "_source")
     rows = mix.selection.copies(sized)
-    return rows.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("_source"))).select(
+    return rows.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("_copies")).cast("long").alias("taken"), "source"
     )
 
@@ -159,7 +161,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = quality.ledger(table(spark, sf_dir, "documents"))
+    ledger = quality.write_ledger(table(spark, sf_dir, "documents"), scratch_path(spark, "quality-ledger"))
     base = quality.failed(F.col("bits"), quality.BASE)
     return ledger.select(
         "doc_id",
@@ -174,6 +176,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("quality_ablation")
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every rule of every policy rejects, alone or with others; from the stored ledger, the texts are read once."""
+    ledger = quality.write_ledger(table(spark, sf_dir, "documents"), scratch_path(spark, "quality-ledger"))
+    parts = [quality.ablation(ledger, rules).select(F.lit(v).alias("policy"), "*") for v, rules in quality.POLICIES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def word_vocabulary() -> str:
     """The vocabulary file's place on the machine that asks."""
     import public_tokenizers

@@ -4,7 +4,8 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from helpers import awkward
+import pytest
+from helpers import awkward, awkward_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -35,6 +36,10 @@ def naive(text):
     }
 
 
+def failing(text):
+    return sum(quality.BIT[rule.name] for rule in quality.RULES if eval(rule.fails, {}, naive(text)))
+
+
 @settings(max_examples=200, deadline=None)
 @given(TEXTS)
 def test_measurements(texts):
@@ -76,7 +81,8 @@ def test_awkward_rows(spark):
     assert len(rows) == 12 and all(r.bits & 1 for r in rows if r.n_words == 0)
     kept = quality.keep_documents(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, 2] or sorted(r.doc_id for r in kept.select("doc_id").collect()) == []
+    good = [i for i, r in enumerate(awkward_rows()) if not failing(r[1]) & quality.POLICIES[quality.CURRENT]]
+    assert sorted(r.n_chars for r in kept.collect()) == sorted(awkward_rows()[i][4] for i in good)
     assert quality.keep_documents(awkward(spark, [])).count() == 0
     assert quality.ledger(docs, keep=("doc_id", "bits", "source")).filter(F.col("source").isNull()).count() == 3
 
@@ -85,3 +91,31 @@ def test_clean_prose_is_kept(spark):
     rows = [(i, " ".join(f"word{(i * 31 + j * 7) % 5003} and" for j in range(200)), "en", "s", 1) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert quality.keep_documents(docs).count() == 20
+
+
+def test_stored_ledger(spark, docs_small, tmp_path, monkeypatch):
+    """Policies and ablations read the stored ledger; one that is too old for a policy is refused, a newer one takes over."""
+    path = str(tmp_path / "ledger")
+    stored = quality.write_ledger(docs_small, path)
+    assert {r.rules for r in stored.select("rules").distinct().collect()} == {7}
+    bits = [failing(r.text) for r in docs_small.collect()]
+    assert sorted(r.bits for r in stored.collect()) == sorted(bits)
+    monkeypatch.setattr(quality, "RULES", (*quality.RULES, quality.Rule("many_lines", "n_lines > 5")))
+    monkeypatch.setitem(quality.BIT, "many_lines", 128)
+    monkeypatch.setitem(quality.POLICIES, 3, quality.BASE | 128)
+    with pytest.raises(ValueError, match="does not know"):
+        quality.read_ledger(spark, path, 3)
+    assert quality.read_ledger(spark, path, 1).count() == len(bits)
+    newer = quality.write_ledger(docs_small, path)
+    assert newer.filter("bits >= 128").count() == sum(naive(r.text)["n_lines"] > 5 for r in docs_small.collect())
+    assert quality.read_ledger(spark, path, 3).count() == len(bits)
+
+
+def test_ablation_query(spark, small, docs_small):
+    bits = [failing(r.text) for r in docs_small.collect()]
+    rows = queries.QUERIES["quality_ablation"](spark, small).collect()
+    assert len(rows) == sum(bin(p).count("1") for p in quality.POLICIES.values())
+    for r in rows:
+        policy, bit = quality.POLICIES[r.policy], quality.BIT[r.rule]
+        assert r.rejected == sum(b & bit != 0 for b in bits) and r.rejected_alone == sum(b & policy == bit for b in bits)
+        assert r.kept_with == sum(b & policy == 0 for b in bits) and r.kept_without == sum(b & policy & ~bit == 0 for b in bits)
