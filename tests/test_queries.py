@@ -6,6 +6,7 @@ import pytest
 from compare import compare, connect
 from paths import ROOT, SMALL
 
+import checks.published  # noqa: F401
 import checks.responses  # noqa: F401
 import checks.rollups  # noqa: F401
 import checks.states  # noqa: F401
