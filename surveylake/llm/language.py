@@ -7,8 +7,10 @@ Families come from a fixed table; a language that isn't in it is a family of its
 linear SVM against the others, each pair of languages of a family one against each other. The family with the
 largest margin wins, then the language with most won pairs; ties go to the larger sum of margins, then to the lower code point.
 
-Bound: models are fitted on at most `SAMPLE` rows per language and `SAMPLE_ROWS` in all, chosen by a hash of the id, in one task. More than `MAX_LANGUAGES` languages are an error.
-Prediction reads whole texts.
+Bound: models are fitted in one task, on at most `SAMPLE` ids per language and `SAMPLE_ROWS` in all, chosen by a hash of the id, with one text each
+and `SAMPLE_BYTES` together; what a language's ids hold beyond its share of the bytes is not learned from. The `MAX_LANGUAGES` languages with most
+learning rows are learned (ties to the lower code), so a long tail of stray codes does not stop the fit; the others are not predicted.
+Prediction reads whole texts of all rows.
 
 Defined results: a null text or one without a letter is `und` with score 0, and so is every text when nothing could be learned; rows with a null
 language or id or without a letter are not learned from; one learned language is predicted for every text with a letter;
@@ -31,10 +33,11 @@ from pyspark.sql import functions as F
 
 from surveylake.llm.grams import WordGrams
 from surveylake.llm.toxicity import fold
-from surveylake.llm.words import pieces, split_words, sums_between
+from surveylake.llm.words import fitting_texts, pieces, split_words, sums_between
 
 SAMPLE = 300
 SAMPLE_ROWS = 6000
+SAMPLE_BYTES = 128 << 20
 MAX_LANGUAGES = 200
 BUCKET_BITS = 13
 GRAMS = (1, 2, 3, 4)
@@ -159,14 +162,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> bytes | None:
     """The models from documents of the learning folds, fitted in one task; None without any."""
     narrow = docs.select("doc_id", F.col("lang").alias("_lang")).filter("doc_id is not null and _lang is not null")
     learning = narrow.filter(fold(F.col("doc_id")) != 0)
-    languages = learning.select("_lang").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    most = learning.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES)
+    languages = [row["_lang"] for row in most.collect()]
+    learned = F.broadcast(docs.sparkSession.createDataFrame([(name,) for name in languages], "_lang string"))
     sample = min(sample, SAMPLE_ROWS // max(1, len(languages)))
     first = F.row_number().over(W.partitionBy("_lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = learning.withColumn("_n", first).filter(F.col("_n") <= sample).select("doc_id", "_lang").distinct()
+    ids = learning.join(learned, "_lang").distinct().withColumn("_n", first).filter(F.col("_n") <= sample).select("doc_id", "_lang")
     chosen = docs.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").filter("lang = _lang")
-    rows = chosen.filter(F.col("text").rlike(LETTER)).select(F.xxhash64("doc_id").alias("key"), "text", "lang")
+    texts = fitting_texts(chosen.filter(F.col("text").rlike(LETTER)), "lang", SAMPLE_BYTES // max(1, len(languages)))
+    rows = texts.select(F.xxhash64("doc_id").alias("key"), "text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         received = [b for b in batches if b.num_rows]

@@ -8,7 +8,8 @@ layer scores the kept values. Training sends gradients through the winning posit
 The decision threshold is calibrated for each language on rows the weights were not fitted on. The language is guessed
 from the text's function words, never read from a column; the score is shifted so that 0.5 is the threshold.
 
-Bound: weights are fitted on at most `SAMPLE` labelled rows per label, chosen by a hash of the id; class shares are counted over all labels.
+Bound: weights are fitted in one task on at most `SAMPLE` labelled ids per label, chosen by a hash of the id, with one text each and
+half of `SAMPLE_BYTES` per label; what ids hold beyond that is not learned from. Class shares are counted over all labels.
 Scoring reads whole texts, one row at a time or a few, in memory bounded by the longest text.
 
 Defined results: a null or empty text is scored as one window without words; labels without a document, and null labels, are not
@@ -27,9 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.llm.grams import WordGrams
-from surveylake.llm.words import Words, pieces, split_words, stored, sums_between
+from surveylake.llm.words import Words, fitting_texts, pieces, split_words, stored, sums_between
 
 SAMPLE = 2500
+SAMPLE_BYTES = 256 << 20
 FOLDS = 5
 BUCKET_BITS = 17
 GRAMS = (0, 4, 5)
@@ -268,7 +270,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | f
     total = sum(counts.values())
     chosen = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id")).limit(sample) for t in (0, 1)]
     ids = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * sample rows
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").select(F.xxhash64("doc_id").alias("key"), "text", "toxic")
+    chosen = fitting_texts(docs.select("doc_id", "text").join(ids, "doc_id"), "toxic", SAMPLE_BYTES // 2)
+    rows = chosen.select(F.xxhash64("doc_id").alias("key"), "text", "toxic")
     shares = (counts.get(0, 0) / max(1, total), counts.get(1, 0) / max(1, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
@@ -102,3 +102,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for a null one; each word ends where white space or the text ends."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def fitting_texts(rows: DataFrame, group: str, limit: int) -> DataFrame:
+    """The texts that a model is fitted on, from the rows of a few sampled ids: `doc_id`, `text` and `group`.
+
+    One text of each id and group (the smallest by hash), so repeated ids add no rows; and in each group, in the order of the
+    ids' hashes, as many as hold `limit` bytes together. The rows of a group are those of a bounded sample of ids.
+    """
+    picked = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text"))).alias("_picked")
+    one = rows.groupBy("doc_id", group).agg(picked).select("doc_id", F.col("_picked.text").alias("text"), group)
+    order = Window.partitionBy(group).orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    held = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(order)
+    return one.withColumn("_held", held).filter(F.col("_held") <= limit).drop("_held")
