@@ -2,12 +2,13 @@
 
 The field labels tokens (runs of characters other than white space, without brackets, quotes and stops around
 them) with begin and inside labels for the four kinds. Its features are word shapes: the classes of characters, lengths, prefix and
-suffix, and the shapes of the words around; it is trained on a small labelled table, by default one made from the
-templates below, and decoded by Viterbi over batches of sequences in numpy.
+suffix, the shapes of the words around, and whether digits in a row pass the checksum of card numbers; it is trained on a small
+labelled table, by default one made from the templates below, and decoded by Viterbi over batches of sequences in numpy.
 
 A sequence is a maximal run of tokens that are at most `CONTEXT` tokens from one with a digit or an at sign; other tokens
 have the outside label by definition. Base spans are always kept; a span of the field is added unless it
-overlaps a base span, holds fewer digits than its kind needs, or lacks the at sign of an email or the separators of an address.
+overlaps a base span, holds fewer digits than its kind needs, lacks the at sign of an email or the separators of an address, or is a card
+that fails the checksum.
 
 Defined results: a null or empty text has no spans; a repeated row has the same spans; an empty
 table gives no rows; other columns are ignored. Work is linear in the text: no base pattern starts twice inside one run of its characters.
@@ -30,7 +31,7 @@ from surveylake.llm.words import pieces, raw_bytes, sums_between
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 2
-FEATURE_BITS = 12
+FEATURE_BITS = 13
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 DIGITS_NEEDED = {"email": 0, "ip": 4, "card": 13, "phone": 9}
 
@@ -163,9 +164,32 @@ def shape(token: str) -> str:
     return "".join(out)
 
 
+_NUMERIC = re.compile(r"[0-9][0-9./-]*")
+
+
+def checksums(tokens: Sequence[str]) -> list[str]:
+    """Per token, where it stands in a number of 13 to 19 digits that passes Luhn: `s` start, `m` inside, `e` end, `a` all of it.
+
+    A number is a token, or some in a row, of digits with `.`, `/` or `-` between; `x` marks tokens of such lengths that pass nowhere.
+    """
+    digits = [_NOT_DIGIT.sub("", t) if _NUMERIC.fullmatch(t) else "" for t in tokens]
+    marks: list[set[str]] = [set() for _ in tokens]
+    for i in range(len(tokens)):
+        joined, j = "", i
+        while j < len(tokens) and digits[j] and len(joined) + len(digits[j]) <= 19:
+            joined += digits[j]
+            j += 1
+            if len(joined) >= 13:
+                good = _luhn(joined)
+                for k in range(i, j):
+                    place = "a" if j == i + 1 else "s" if k == i else "e" if k == j - 1 else "m"
+                    marks[k].add(place if good else "x")
+    return ["".join(sorted(m - {"x"} or m)) for m in marks]
+
+
 def features(tokens: Sequence[str]) -> list[list[int]]:
     """Hashed feature numbers of each token."""
-    shapes = [shape(t) for t in tokens]
+    shapes, sums = [shape(t) for t in tokens], checksums(tokens)
     result = []
     for i, token in enumerate(tokens):
         digits = sum("0" <= c <= "9" for c in token)
@@ -184,6 +208,9 @@ def features(tokens: Sequence[str]) -> list[list[int]]:
             f"sn1={shapes[i]}|{near[2]}",
             f"p2p1={near[0]}|{near[1]}",
             f"n1n2={near[2]}|{near[3]}",
+            f"c={sums[i]}",
+            f"cs={sums[i]}|{shapes[i]}",
+            f"pc={sums[i - 1] if i else '^'}|{sums[i]}",
         ]
         result.append([zlib.crc32(n.encode()) & ((1 << FEATURE_BITS) - 1) for n in names])
     return result
@@ -341,15 +368,20 @@ def _word(rng: np.random.Generator) -> str:
     return "".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(3, 9)))
 
 
-def _card_number(rng: np.random.Generator, n: int) -> str:
-    body = "4" + _digits(rng, n - 2)
-    return next(body + d for d in "0123456789" if _luhn(body + d))
+def _card_number(rng: np.random.Generator, n: int, right: bool = True) -> str:
+    body = f"{rng.integers(3, 7)}" + _digits(rng, n - 2)
+    return next(body + d for d in rng.permutation(list("0123456789")) if _luhn(body + d) == right)
+
+
+def _written_card(number: str, pick: int) -> str:
+    return " ./-"[pick].join(number[i : i + 4] for i in range(0, len(number), 4))
 
 
 def _entity(kind: str, rng: np.random.Generator) -> str:
     pick = int(rng.integers(0, 6))
     if kind == "email":
-        user, host = f"{_word(rng)}.{_digits(rng, 2)}", f"{_word(rng)}.example.com"
+        user = f"{_word(rng)}.{_digits(rng, 2)}"
+        host = [f"{_word(rng)}.example.com", f"{_word(rng)}{_digits(rng, 1)}.example.com", f"{_word(rng)}-{_word(rng)}.org", f"{_word(rng)}.net"][int(rng.integers(0, 4))]
         return [f"{user}@{host}", f"{_word(rng)}@{host}", f"{_word(rng)}@{_word(rng)}.org", f"{_word(rng)} @ {host}", f"{user} @ {host}", f"{user}@{host}"][pick]
     if kind == "ip":
         parts = [str(x) for x in rng.integers(0, 256, 4)]
@@ -357,14 +389,16 @@ def _entity(kind: str, rng: np.random.Generator) -> str:
         return [".".join(parts), ".".join(parts), f"{'.'.join(parts)}:{rng.integers(80, 9999)}", six, " . ".join(parts), ".".join(parts)][pick]
     if kind == "card":
         number = _card_number(rng, 16)
-        four = [number[i : i + 4] for i in range(0, 16, 4)]
-        return [number, " ".join(four), "-".join(four), ".".join(four), "/".join(four), _card_number(rng, 13)][pick]
+        return [number, *(_written_card(number, i) for i in (0, 3, 1, 2)), _card_number(rng, 13)][pick]
     a, b, c = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
     return [f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+{_digits(rng, 2)} {a} {b}{c}", f"{a}.{b}.{c}", f"0{a} / {b}{c}"][pick]
 
 
 def labelled_table(per_frame: int = 14, seed: int = 5) -> list[tuple[str, list[Span]]]:
-    """Some 700 short texts with the spans of their personal data, made from the frames above."""
+    """Some 900 short texts with the spans of their personal data, made from the frames above.
+
+    Numbers written like cards that fail Luhn stand in the card frames too, without a span, and two cards side by side have two.
+    """
     rng, rows = np.random.default_rng(seed), []
     for kind, frames in FRAMES.items():
         for frame in frames:
@@ -374,6 +408,13 @@ def labelled_table(per_frame: int = 14, seed: int = 5) -> list[tuple[str, list[S
                 right = f"{right} {_word(rng)}, {_word(rng)}" if rng.random() < 0.5 else right
                 entity = _entity(kind, rng)
                 rows.append((left + entity + right, [(len(left), len(left) + len(entity), kind)]))
+                if kind == "card":
+                    form = int(rng.integers(0, 4))
+                    wrong = _card_number(rng, 16, False)
+                    rows.append((left + (_written_card(wrong, form) if rng.random() < 0.7 else wrong) + right, []))
+                    one, two = (_written_card(_card_number(rng, 16), form) for _ in range(2))
+                    middle = len(left) + len(one)
+                    rows.append((f"{left}{one} {two}{right}", [(len(left), middle, kind), (middle + 1, middle + 1 + len(two), kind)]))
     for frame in OTHER:
         for _ in range(per_frame):
             text = frame
@@ -414,6 +455,7 @@ def added_spans(texts: Sequence[str], base: Sequence[Sequence[Span]], field: Fie
                 digits = sum("0" <= c <= "9" for c in inside)
                 fits = digits >= DIGITS_NEEDED[kind] and ("@" in inside) == (kind == "email")
                 fits &= kind != "ip" or inside.count(".") >= 3 or inside.count(":") >= 3
+                fits &= kind != "card" or (digits <= 19 and _luhn(_NOT_DIGIT.sub("", inside)))
                 if fits and not any(x < end and y > start for x, y, _ in base[i]):
                     added[i].append((start, end, kind))
         low = high
