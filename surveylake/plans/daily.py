@@ -18,17 +18,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..channels import CHANNEL_NAMES, Channel, channel_specs
-from ..operators.dedup import dedup_by_comment, dedup_by_keys, dedup_responses, removed_by_comment, removed_by_keys
-from ..operators.intent import map_intent
+from ..operators.dedup import (
+    dedup_by_comment,
+    dedup_by_keys,
+    dedup_report,
+    dedup_responses,
+    removed_by_comment,
+    removed_by_keys,
+)
+from ..operators.intent import intent_match_rate, map_intent
 from ..operators.normalize import comment_value, common_view, normalize
-from ..operators.quality import CAMPAIGN_REASON, DEDUP_REASON, campaign_keep, campaign_removed, removed_report
+from ..operators.quality import CAMPAIGN_REASON, DEDUP_REASON, campaign_keep, campaign_removed, input_profile, removed_report
 from ..operators.rollups import availability
 from ..operators.states import content_check, cumulative_from_states, daily_from_states, monthly_from_states, score_states
-from ..schemas import curated_schema
+from ..schemas import RUN_STATISTICS, curated_schema
 from ..sinks.states import catch_up, stored_states, update_states
 from ..sinks.tables import overwrite_partitions, replace_partitions, write_parts, write_removed_csv
 from ..sinks.tracker import append_run, refresh_tracker
-from ..sources.tables import path_exists, requested_dates, scan_lookup_csv, scan_partition
+from ..sources.columns import scan_registered
+from ..sources.tables import path_exists, requested_dates, scan_lookup_csv, scan_partition, scan_table
 
 
 @dataclass(frozen=True)
@@ -114,6 +122,12 @@ def channel_states(spark: SparkSession, catalog: Catalog, channel: Channel) -> D
     return stored_states(spark, states)
 
 
+def scan_raw(spark: SparkSession, catalog: Catalog, channel: Channel, dates: Iterable[date]) -> DataFrame:
+    """These dates of a channel's curated table; their columns come from the registry beside the output."""
+    registry = catalog.path("column_registry", channel.name)
+    return scan_registered(spark, catalog.curated_path(channel.name), dates, curated_schema(channel), registry)
+
+
 def _received(raw: DataFrame, dates: list[date]) -> list[date]:
     """The requested dates that have rows: one value per date of the run."""
     if not dates:
@@ -128,7 +142,7 @@ def process_channel(
 ) -> list[tuple]:
     """Write one channel's final, removed and daily-score tables; one report row per date."""
     name = channel.name
-    raw = scan_partition(spark, catalog.curated_path(name), dates, curated_schema(channel))
+    raw = scan_raw(spark, catalog, channel, dates)
     states = catalog.path("score_states", name)
     known = channel_states(spark, catalog, channel)
     # The states before the run, as values: their files are about to be replaced. One row per date.
@@ -181,6 +195,7 @@ def run_daily(
         done = pool.map(lambda n: process_channel(spark, catalog, specs[n], lookup, dates, as_of), channels)
         report = [row for rows in done for row in rows]
     write_rollups(spark, catalog, specs, as_of)
+    write_statistics(spark, catalog, specs, dates, channels)
     new_records = spark.createDataFrame(
         report,
         "channel string, event_date date, new_count bigint, existing_count bigint, new_records_found boolean,"
@@ -192,6 +207,49 @@ def run_daily(
     return new_records
 
 
+def channel_statistics(raw: DataFrame, channel: Channel, lookup: DataFrame) -> DataFrame:
+    """Input profile, intent match rate and, where a channel is de-duplicated by comment, the de-duplication report, per date."""
+    main = campaign_keep(raw) if channel.campaign_filter else raw
+    parts = [input_profile(raw, channel, "event_date")]
+    if not channel.campaign_filter:
+        # Without the filter nothing is removed by campaign, whatever the column holds.
+        none_removed = {"campaign_removed": F.lit(0).cast("long"), "passed": F.col("received")}
+        parts = [parts[0].withColumns(none_removed)]
+    parts.append(intent_match_rate(main, lookup, "event_date"))
+    if not channel.key_dedup:
+        parts.append(dedup_report(main, comment_value(main, channel)))
+    joined = reduce(lambda a, b: a.join(b, "event_date", "left"), parts)
+    there = set(joined.columns)
+    return joined.select(
+        *[
+            F.lit(channel.name).alias("channel") if f.name == "channel"
+            else (F.col(f.name) if f.name in there else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in RUN_STATISTICS.fields
+        ]
+    )
+
+
+def write_statistics(
+    spark: SparkSession, catalog: Catalog, specs: Mapping[str, Channel], dates: Iterable[date], channels: Iterable[str] = CHANNEL_NAMES
+) -> None:
+    """Store the statistics of these dates, a partition per date; dates without raw rows lose theirs."""
+    lookup, dates = scan_lookup_csv(spark, catalog.lookup), list(dates)
+
+    def write(name: str) -> None:
+        raw = scan_raw(spark, catalog, specs[name], dates)
+        found = channel_statistics(raw, specs[name], lookup)
+        replace_partitions(found, catalog.path("run_statistics", name), dates)
+
+    with ThreadPoolExecutor(max_workers=len(CHANNEL_NAMES)) as pool:
+        list(pool.map(write, channels))
+
+
+def read_statistics(spark: SparkSession, catalog: Catalog, channels: Iterable[str] = CHANNEL_NAMES) -> DataFrame:
+    """The stored statistics of all dates of the channels."""
+    parts = [scan_table(spark, catalog.path("run_statistics", name), RUN_STATISTICS) for name in channels]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_availability(new_records: DataFrame) -> DataFrame:
     """A channel is available when any date of the run left rows."""
     present = new_records.filter(F.col("new_count") > 0)

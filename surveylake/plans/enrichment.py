@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.enrich import (
     ACCOUNT_COLUMNS,
@@ -15,7 +18,12 @@ from ..operators.enrich import (
     latest_snapshot,
     reference_columns,
 )
+from ..channels import CHANNEL_NAMES
+from ..schemas import curated_schema
 from ..sinks.tables import overwrite_partitions
+from ..sources.columns import scan_registered
+from ..sources.tables import latest_partition, path_exists
+from .daily import Catalog
 
 
 def account_reference(
@@ -47,5 +55,61 @@ def enriched_responses(
     return enrich(final, missing, batch=batch) if len(missing.columns) > 1 else final
 
 
+@dataclass(frozen=True)
+class ReferencePaths:
+    """Where the references lie: snapshot tables by ``insert_date`` for the first two, a flat table for the outages."""
+
+    arrears: str | None = None
+    accounts: str | None = None
+    outages: str | None = None
+
+
+def read_snapshot(spark: SparkSession, root: str | None, key: str = "insert_date") -> DataFrame | None:
+    """The latest snapshot folder of a reference, all of its columns; None for no path, no folder or no snapshot.
+
+    Only the folder names are listed to find it, and only that folder is read.
+    """
+    latest = latest_partition(spark, root, key) if root else None
+    if latest is None:
+        return None
+    return spark.read.option("basePath", root).parquet(f"{root}/{key}={latest}")
+
+
+def stored_reference(spark: SparkSession, paths: ReferencePaths, on_duplicate: str = "raise") -> DataFrame | None:
+    """One row per account from the references that are there."""
+    flat = spark.read.parquet(paths.outages) if paths.outages and path_exists(spark, paths.outages) else None
+    return account_reference(read_snapshot(spark, paths.arrears), read_snapshot(spark, paths.accounts), flat, on_duplicate)
+
+
+def run_enrichment(
+    spark: SparkSession,
+    catalog: Catalog,
+    paths: ReferencePaths,
+    dates: Iterable[date],
+    specs,
+    channels: Iterable[str] = CHANNEL_NAMES,
+) -> dict[str, bool]:
+    """Read the final tables of these dates, add the references that are there and write `enriched`; which channels had rows.
+
+    A missing reference, or a channel without these dates, is left out; any other read error is raised. Running it again
+    with the same input gives the same tables.
+    """
+    reference, days = stored_reference(spark, paths), list(dates)
+
+    def write(name: str) -> bool:
+        root, schema = catalog.path("final", name), curated_schema(specs[name])
+        if not path_exists(spark, root):
+            return False
+        final = scan_registered(spark, root, days, schema, catalog.path("final_columns", name))
+        if final.isEmpty():
+            return False
+        write_enriched(enriched_responses(final, reference), catalog.path("enriched", name))
+        return True
+
+    names = list(channels)
+    with ThreadPoolExecutor(max_workers=len(CHANNEL_NAMES)) as pool:
+        return dict(zip(names, pool.map(write, names)))
+
+
 def write_enriched(enriched: DataFrame, root: str) -> None:
     overwrite_partitions(enriched, root)

@@ -105,3 +105,24 @@ BATCH_EVENTS = T.StructType(
         T.StructField("run_id", T.StringType()),
     ]
 )
+
+# The columns found in a date's files; rows are only ever added.
+DATE_COLUMNS = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("partition_value", "files", "columns")]
+)
+
+# What a run found in a channel's raw table, one row per date.
+RUN_STATISTICS = T.StructType(
+    [T.StructField("channel", T.StringType()), T.StructField("event_date", T.DateType())]
+    + [
+        T.StructField(name, T.LongType())
+        for name in (
+            "received", "with_verbatim", "campaign_removed", "passed", "total_count", "matched_count", "unmatched_count",
+        )
+    ]
+    + [T.StructField("match_rate", T.DoubleType())]
+    + [
+        T.StructField(name, T.LongType())
+        for name in ("total_before", "with_comment", "without_comment", "case_1", "case_2", "case_3", "total_after")
+    ]
+)

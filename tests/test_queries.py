@@ -9,6 +9,7 @@ from paths import ROOT, SMALL
 import checks.published  # noqa: F401
 import checks.responses  # noqa: F401
 import checks.rollups  # noqa: F401
+import checks.runs  # noqa: F401
 import checks.states  # noqa: F401
 import checks.text  # noqa: F401
 from checks.registry import ORACLES, QUERIES
