@@ -6,29 +6,29 @@ Only the parameters of these steps are known, not their code; choices marked
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel, HashingTF, StringIndexer
+from pyspark.ml.feature import HashingTF, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from surveylake.session import scratch_path
 
+from . import topic_model
 from .scoring import FAMILIES, FAMILY_TOPICS, TOPICS, confidence, model_key, score_topics
 
 MIN_TEXT_LENGTH = 3
 MIN_NEW_RECORDS = 100
 RANDOM_SEED = 42
 FEATURES = 1 << 14
-# First number of LDA iterations, and the share by which the perplexity may still change when they are doubled.
-LDA_ITERATIONS = 10
+# Least steps of a topic model, the share by which its perplexity may still change when the passes are doubled, and the
+# number of passes as a safeguard only.
+LDA_STEPS = 20
 LDA_TOLERANCE = 1e-2
 LDA_MAX_ITERATIONS = 320
 # Columns in which a topic model counts words: what the driver holds of it, times the topics.
@@ -201,29 +201,22 @@ def discover_topics(
 
     Words are counted in hashed columns, so the model, and with it the driver, holds `k` times `columns` weights
     whatever the vocabulary. The words come back by a join: a column's weight is shared out among its words by
-    their occurrences. Each iteration draws as many texts as there are, with replacement; iterations are doubled until the
-    perplexity of all texts settles, or `max_iterations` are done.
+    their occurrences. Each pass takes every text once; passes go on until doubling their number changes the
+    perplexity of all texts no more, or `max_iterations` are done.
     """
     spark = texts.sparkSession
-    numbered = F.transform(F.coalesce(words(F.col(text)), F.array()), lambda w: topic_column(w, columns).cast("string"))
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(columns)], "columns", "features")
-    path = scratch_path(spark, "topic-columns")
-    counter.transform(texts.select(numbered.alias("columns"))).select("features").write.parquet(path)
-    counted = spark.read.parquet(path)
-    iterations, before = min(LDA_ITERATIONS, max_iterations), math.inf
-    while True:
-        # Whole passes instead of small batches: the first steps may be long ones.
-        lda = LDA(k=k, seed=RANDOM_SEED, maxIter=iterations, optimizer="online", subsamplingRate=1.0, learningOffset=1.0)
-        model = lda.fit(counted)
-        now = model.logPerplexity(counted)
-        if abs(before - now) <= LDA_TOLERANCE * abs(now) or iterations >= max_iterations:
-            break
-        iterations, before = min(2 * iterations, max_iterations), now
+    numbered = F.transform(F.coalesce(words(F.col(text)), F.array()), lambda w: topic_column(w, columns))
+    model = topic_model.fit(
+        texts.select(numbered.alias("columns")), "columns", columns, k, RANDOM_SEED, LDA_TOLERANCE, LDA_STEPS, max_iterations
+    )
     path = scratch_path(spark, "topic-words")
     topic_word_counts(texts, text, columns).write.parquet(path)
     vocabulary = spark.read.parquet(path)
     totals = vocabulary.groupBy("term_index").agg(F.sum("occurrences").alias("_total"))
-    described = model.describeTopics(columns).select("topic", F.inline(F.arrays_zip("termIndices", "termWeights")))
+    rows = [(topic, weights.tolist()) for topic, weights in enumerate(model.described())]
+    described = spark.createDataFrame(rows, "topic int, weights array<double>").select(
+        "topic", F.posexplode("weights").alias("termIndices", "termWeights")
+    )
     weights = described.join(totals, F.col("termIndices") == F.col("term_index")).select(
         "topic", "term_index", (F.col("termWeights") / F.col("_total")).alias("_each")
     )

@@ -6,11 +6,13 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from surveylake.operators import topic_model
 from surveylake.operators.calibration import (
     calibrate,
     calibration_counts,
@@ -20,14 +22,17 @@ from surveylake.operators.calibration import (
 )
 from surveylake.operators.scoring import TOPICS, model_key, score_topics, withhold_level3
 from surveylake.operators.training import (
+    TOPIC_COLUMNS,
     classifier_metrics,
     cross_score,
     discover_topics,
     featurize,
     fold_of,
+    topic_column,
     topic_training_rows,
     topic_word_counts,
     train_topics,
+    words,
 )
 from surveylake.session import scratch_path
 
@@ -230,3 +235,32 @@ def test_words_come_back_from_shared_columns(spark):
     assert {r.term_index for r in rows} == {0, 1}
     for topic in (0, 1):
         assert sum(r.weight for r in rows if r.topic == topic) == pytest.approx(1)
+
+
+def test_every_text_enters_each_pass_once(spark, monkeypatch):
+    monkeypatch.setattr(topic_model, "PART_TEXTS", 4)
+    texts = [("bill payment charge bill",), ("power outage storm",), (None,), ("",)] * 10
+    df = spark.createDataFrame(texts, "customer_text_clean string")
+    numbered = df.select(F.transform(F.coalesce(words(F.col("customer_text_clean")), F.array()), topic_column).alias("c"))
+    seen, step = [], topic_model._step
+
+    def counted_step(counted, parts, topics, texts):
+        bound, held = step(counted, parts, topics, texts)
+        seen.append(held)
+        return bound, held
+
+    monkeypatch.setattr(topic_model, "_step", counted_step)
+    model = topic_model.fit(numbered, "c", TOPIC_COLUMNS, 2, 42, 1e-2, 20, 64)
+    # 20 texts with 70 words in five parts; the passes go on from each other, and none draws a text twice.
+    passes = [sum(seen[i : i + 5]) for i in range(0, len(seen), 5)]
+    assert len(seen) % 5 == 0 and model.steps <= len(seen) and set(passes) == {70}
+    assert 0 < model.perplexity < 2.2
+
+
+def test_topic_functions():
+    for x in (0.01, 0.5, 3.0, 2e4):
+        near = np.array([x * (1 - 1e-5), x, x * (1 + 1e-5)])
+        logs, psi = [math.lgamma(v) for v in near], topic_model.digamma(near)
+        assert topic_model.log_gamma(near) == pytest.approx(logs, rel=1e-8, abs=1e-8)
+        assert psi[1] == pytest.approx((logs[2] - logs[0]) / (near[2] - near[0]), rel=1e-4)
+        assert topic_model.trigamma(near)[1] == pytest.approx((psi[2] - psi[0]) / (near[2] - near[0]), rel=1e-4)
