@@ -192,13 +192,13 @@ corrections AS (
 
 
 def outputs(spark, folder):
-    found = low(spark, folder)
-    first = found.select("record_id", F.lit(0).alias("batch_index"), *[F.upper(t).alias(t) for t in TOPICS])
-    none = F.lit(None).cast("string")
-    later = found.filter(F.col("channel").startswith("api")).select(
-        "record_id", F.lit(1), F.lit("second"), "level2_category", none, none, F.lit("true"), none
-    )
-    return first.union(later)
+    """Both outputs of a record come out of one reading of it."""
+    none, api = F.lit(None).cast("string"), F.col("channel").startswith("api")
+    first = F.struct(F.lit(0).alias("batch_index"), *[F.upper(t).alias(t) for t in TOPICS])
+    second = (F.lit("second"), F.col("level2_category"), none, none, F.lit("true"), none)
+    later = F.struct(F.lit(1).alias("batch_index"), *[value.alias(t) for value, t in zip(second, TOPICS)])
+    both = F.when(api, F.array(first, later)).otherwise(F.array(first))
+    return low(spark, folder).select("record_id", F.inline(both))
 
 
 @query("combine_corrections", f"{LOW_CTE}, {OUTPUTS_SQL} SELECT * FROM corrections")

@@ -87,12 +87,12 @@ def write_batches(batches: DataFrame, root: str) -> None:
 def combine_corrections(outputs: DataFrame, record_id: str = "record_id", version: str = "batch_index") -> DataFrame:
     """All batch outputs as one table, the latest output per record.
 
-    ``max_by`` combines map-side. A record's values come from one output as a
-    whole; NULL topics in it stay NULL.
+    The largest version with its values combines map-side. A record's values come from one
+    output as a whole; NULL topics in it stay NULL.
     """
     values = [c for c in outputs.columns if c not in (record_id, version)]
-    latest = F.max_by(F.struct(*values), F.struct(F.col(version), *values)).alias("_latest")
-    return outputs.groupBy(record_id).agg(latest).select(record_id, "_latest.*")
+    latest = F.max(F.struct(F.col(version).alias("_version"), *values)).alias("_latest")
+    return outputs.groupBy(record_id).agg(latest).select(record_id, *[f"_latest.`{c}`" for c in values])
 
 
 def apply_corrections(

@@ -55,19 +55,21 @@ def correct_dashboard(
     over a table twice writes nothing the second time. Corrections of unknown records have no effect.
     """
     fixed = [t for t in topics if t in corrections.columns]
+    if not fixed:
+        return []
     staged = scratch_path(spark, "dashboard-corrections")
     own = corrections.select(record_id, *fixed).withColumn(BUCKET, record_bucket(F.col(record_id), buckets))
     own.write.parquet(staged)
     own = spark.read.schema(own.schema).parquet(staged)
     touched = [row[0] for row in own.select(BUCKET).distinct().collect()]  # at most one row per bucket
     stored = read_published(spark, root, _bucketed(schema), touched, BUCKET)
-    changes = [F.col(f"c.{t}").isNotNull() & ~F.col(f"c.{t}").eqNullSafe(F.col(f"p.{t}")) for t in fixed]
-    met = stored.alias("p").join(own.alias("c"), [record_id, BUCKET])
-    any_change = F.lit(False)
-    for change in changes:
-        any_change = any_change | change
-    changed = sorted(row[0] for row in met.filter(any_change).select(BUCKET).distinct().collect())
+    # Joined once: the buckets with a change and their new rows both come from the stored result.
+    laid = apply_corrections(stored.withColumn("_was", F.struct(*fixed)), own.drop(BUCKET), record_id, topics)
+    laid = laid.withColumn("_changed", ~F.struct(*fixed).eqNullSafe(F.col("_was"))).drop("_was")
+    staged = scratch_path(spark, "dashboard-corrected")
+    laid.write.parquet(staged)
+    laid = spark.read.schema(laid.schema).parquet(staged)
+    changed = sorted(row[0] for row in laid.filter("_changed").select(BUCKET).distinct().collect())
     if changed:
-        kept = read_published(spark, root, _bucketed(schema), changed, BUCKET)
-        publish(apply_corrections(kept, own.drop(BUCKET), record_id, topics), root, changed, BUCKET)
+        publish(laid.filter(F.col(BUCKET).isin(changed)).drop("_changed"), root, changed, BUCKET)
     return changed

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveylake.operators.corrections import apply_corrections
+from surveylake.sinks import dashboards
 from surveylake.sinks.dashboards import correct_dashboard, read_dashboard, record_bucket, write_dashboard
 from surveylake.sinks.versions import (
     current_versions,
@@ -142,3 +143,16 @@ def test_empty_dashboards_and_no_corrections(spark, tmp_path):
     none = spark.createDataFrame([], "record_id string, topic string")
     assert correct_dashboard(spark, root, df.schema, none, topics=("topic",), buckets=4) == []
     assert read_dashboard(spark, root, df.schema).count() == 0
+
+
+def test_corrections_read_the_stored_table_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"t{i % 3}") for i in range(40)], "record_id int, topic string")
+    root = scratch_path(spark, "dashboard")
+    write_dashboard(df, root, buckets=4)
+    reads, read = [], dashboards.read_published
+    monkeypatch.setattr(dashboards, "read_published", lambda *a: reads.append(a) or read(*a))
+    fixes = spark.createDataFrame([(1, "new"), (2, None), (99, "unknown")], "record_id int, topic string")
+    assert len(correct_dashboard(spark, root, df.schema, fixes, topics=("topic",), buckets=4)) == 1
+    assert len(reads) == 1
+    rows = dict(read_dashboard(spark, root, df.schema).collect())
+    assert rows == {i: "new" if i == 1 else f"t{i % 3}" for i in range(40)}
