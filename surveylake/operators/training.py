@@ -6,6 +6,7 @@ Only the parameters of these steps are known, not their code; choices marked
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -102,6 +103,15 @@ def featurize(texts: DataFrame, text: str = "customer_text_clean", features: int
     return hashing.transform(texts.withColumn("_words", words(F.col(text)))).drop("_words")
 
 
+def fit_partitions(partitions: int, cores: int, parallel: int) -> int:
+    """Partitions of one fit's rows, where `parallel` fits share the cores and the rows are read in so many `partitions`.
+
+    Each iteration shuffles a whole gradient per partition, so a fit takes two rounds of its share of the cores, not a
+    partition per core. Rows that are read in more partitions than there are cores keep what is over, so none grows without end.
+    """
+    return min(partitions, max(math.ceil(2 * cores / parallel), partitions - cores))
+
+
 def train_topics(
     featured: DataFrame, folder: str, topics: Sequence[str] = TOPICS, family: str = "model_family", parallel: int = 6
 ) -> dict[str, tuple[Transformer, list[str]]]:
@@ -126,10 +136,13 @@ def train_topics(
         index = StringIndexer(inputCol=topic, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
         if len(index.labels) < 2:
             return None
+        rows = index.transform(labelled).select("features", "label")
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        rows = rows.coalesce(max(1, fit_partitions(rows.rdd.getNumPartitions(), cores, parallel)))
         classifier = LogisticRegression(
             maxIter=FIT_ITERATIONS, tol=FIT_TOLERANCE, regParam=0.01, featuresCol="features", labelCol="label"
         )
-        classifier.fit(index.transform(labelled)).write().overwrite().save(f"{folder}/{key}")
+        classifier.fit(rows).write().overwrite().save(f"{folder}/{key}")
         return key, (LogisticRegressionModel.load(f"{folder}/{key}"), list(index.labels))
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from surveylake.operators import topic_model
@@ -27,6 +28,7 @@ from surveylake.operators.training import (
     cross_score,
     discover_topics,
     featurize,
+    fit_partitions,
     fold_of,
     topic_column,
     topic_training_rows,
@@ -264,3 +266,17 @@ def test_topic_functions():
         assert topic_model.log_gamma(near) == pytest.approx(logs, rel=1e-8, abs=1e-8)
         assert psi[1] == pytest.approx((logs[2] - logs[0]) / (near[2] - near[0]), rel=1e-4)
         assert topic_model.trigamma(near)[1] == pytest.approx((psi[2] - psi[0]) / (near[2] - near[0]), rel=1e-4)
+
+
+def test_a_fit_takes_its_share_of_the_cores():
+    # 12 cores, 6 fits: the partitions, each of which shuffles a gradient per iteration, do not grow with the rows.
+    assert [fit_partitions(n, 12, 6) for n in (1, 3, 12, 16)] == [1, 3, 4, 4]
+    assert fit_partitions(160, 12, 6) == 148 and fit_partitions(40, 8, 1) == 32
+
+
+def test_training_shuffles_no_more_with_more_partitions(spark, featured, monkeypatch):
+    seen, fit = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    cores = spark.sparkContext.defaultParallelism
+    train_topics(featured.repartition(cores), scratch_path(spark, "models"), ["is_urgent"], parallel=2 * cores)
+    assert seen == [1]
