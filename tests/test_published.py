@@ -145,9 +145,9 @@ def test_empty_dashboards_and_no_corrections(spark, tmp_path):
     assert read_dashboard(spark, root, df.schema).count() == 0
 
 
-def test_corrections_read_the_stored_table_once(spark, monkeypatch):
+def test_corrections_read_the_stored_table_once(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(i, f"t{i % 3}") for i in range(40)], "record_id int, topic string")
-    root = scratch_path(spark, "dashboard")
+    root = str(tmp_path / "d")
     write_dashboard(df, root, buckets=4)
     reads, read = [], dashboards.read_published
     monkeypatch.setattr(dashboards, "read_published", lambda *a: reads.append(a) or read(*a))
