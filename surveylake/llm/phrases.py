@@ -6,9 +6,13 @@ A phrase of k words occurs where a window starts with it, so a ROLLUP over the c
 counts of all their prefixes, the phrases of 1 to `order` words, without an explosion per length.
 
 Before that, one pass adds up word totals and fills hashed slots with capped counts of words and of runs of two and
-three words. A run whose slot stays under `min_count` is too rare to be a phrase or a part of one, and so is any run around
-it; windows are padded from there on, which changes no count of `min_count` or more. The slots are a fixed number of
-bytes; a larger corpus fills them more, and then more windows are counted, with the same results.
+three words. Each run counts in PROBES slots; if any of them stays under `min_count`, the run is too rare to be a phrase or a
+part of one, and so is any run around it; windows are padded from there on, which changes no count of `min_count` or more.
+The number of slots follows the bytes of text up to MOST_SLOTS; a corpus beyond that fills them more, and then more windows
+are counted, one per word at most, with the same results.
+
+Each task hands on every frequent window once, so rows would grow with tasks times windows. Both passes therefore run in as
+many tasks as there are cores, however many partitions the texts are read in.
 
 Texts are lower-cased (A-Z only) and cut into pieces at ``. , ; : ! ?`` and the line breaks U+000A to U+000D; words of a
 piece are parted by spaces and tabs. A candidate has 2 to `order` words and at least `min_count` occurrences, overlaps included. It is
@@ -42,7 +46,10 @@ TOP = 2000
 UNKNOWN = "und"
 
 # Slots of each hashed table of capped counts, a power of two: one byte each, and one bit each in the tasks.
-SLOTS = 1 << 22
+LEAST_SLOTS, MOST_SLOTS = 1 << 22, 1 << 26
+# Bytes of text that one slot is meant for, and slots that each run is counted in.
+SLOT_BYTES = 64
+PROBES = 2
 # Runs of so many words are checked against slots of their own.
 CHECKED = 3
 # Rows in which a table of slots travels.
@@ -50,7 +57,7 @@ SLOT_BLOCK = 1 << 16
 # Windows of a task, as rows of words, that are held to be merged with those of its next blocks.
 MERGE_ROWS = 1 << 20
 # Bytes of text whose words are held at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _WORD, _BLANK, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -58,6 +65,7 @@ _KIND[[0x20, 0x09]] = _BLANK
 _KIND[list(b".,;:!?\x0a\x0b\x0c\x0d")] = _BREAK
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PROBE_MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass
@@ -94,10 +102,9 @@ def blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     if not len(data):
         return
     lang_codes = batch.column(batch.schema.get_field_index("lang")).dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    data = np.frombuffer(data.tobytes().translate(_LOWER), dtype=np.uint8)
     cuts = _cuts(data, offsets, limit)
     for low, high in zip(cuts[:-1], cuts[1:]):
-        part = data[low:high]
+        part = np.frombuffer(data[low:high].tobytes().translate(_LOWER), dtype=np.uint8)
         kind = _KIND[part]
         solid = kind == _WORD
         begins = offsets[(offsets > low) & (offsets < high)] - low
@@ -120,7 +127,7 @@ def blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[Block]:
 
 
 def run_slots(block: Block, languages: list[str], slots: int) -> list[np.ndarray]:
-    """Slots of the runs of 1 to CHECKED words from each word on; -1 where the piece ends before."""
+    """Per length of run, 1 to CHECKED words, the PROBES slots of the run from each word on; -1 where the piece ends before."""
     shift = np.uint64(64 - (slots.bit_length() - 1))
     hashed = np.array([crc32(w) for w in block.vocabulary.to_pylist()], dtype=np.uint64)
     seeds = np.array([crc32(name.encode()) for name in languages], dtype=np.uint64) << np.uint64(32)
@@ -130,11 +137,13 @@ def run_slots(block: Block, languages: list[str], slots: int) -> list[np.ndarray
         if n > 1:
             state = state[:-1] if len(state) else state
             state = ((state ^ (state >> np.uint64(29))) + hashed[block.codes[n - 1 :]]) * _MIX
-        slot = (state >> shift).astype(np.int64)
-        whole = np.full(len(block.codes), -1, dtype=np.int64)
+        whole = np.full((PROBES, len(block.codes)), -1, dtype=np.int64)
         if n <= len(block.codes):
             inside = block.piece[n - 1 :] == block.piece[: len(block.piece) - n + 1]
-            whole[: len(slot)] = np.where(inside, slot, -1)
+            mixed = state
+            for probe in whole:
+                probe[: len(mixed)] = np.where(inside, (mixed >> shift).astype(np.int64), -1)
+                mixed = (mixed ^ (mixed >> np.uint64(32))) * _PROBE_MIX
         out.append(whole)
     return out
 
@@ -210,8 +219,15 @@ class Frequent:
     slots: int
 
     def may(self, run: int, at: np.ndarray) -> np.ndarray:
+        """`at` holds the slots of a run in each row, as `run_slots` gives them; -1 for none."""
         held = (self.bits[run][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-        return (at >= 0) & (held == 1)
+        return ((at >= 0) & (held == 1)).all(axis=0)
+
+
+def slots_for(texts: DataFrame) -> int:
+    """A power of two, one slot for SLOT_BYTES of text, between LEAST_SLOTS and MOST_SLOTS."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("size")).first()["size"] or 0
+    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (size // SLOT_BYTES).bit_length()))
 
 
 def frequent_slots(texts: DataFrame, min_count: int, slots: int) -> Frequent:
@@ -307,10 +323,14 @@ def _window_counter(order: int, frequent) -> Callable[[Iterator[pa.RecordBatch]]
     return count
 
 
-def phrase_counts(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, slots: int = SLOTS) -> tuple[DataFrame, dict[str, int]]:
+def phrase_counts(
+    docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, slots: int | None = None
+) -> tuple[DataFrame, dict[str, int]]:
     """(lang, words, size, f) of every phrase of 1 to `order` words that occurs `min_count` times, and each language's words."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
+    slots = slots or slots_for(texts)
+    texts = texts.coalesce(spark.sparkContext.defaultParallelism)
     frequent = frequent_slots(texts, min_count, slots)
     columns = [f"w{k}" for k in range(1, order + 1)]
     schema = "lang string, " + ", ".join(f"{c} string" for c in columns) + ", n long"
@@ -345,7 +365,7 @@ def collocations(
     min_count: int = MIN_COUNT,
     covered: int = COVERED,
     top: int | None = TOP,
-    slots: int = SLOTS,
+    slots: int | None = None,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first `top` phrases of each language, or all of them."""
     spark = docs.sparkSession

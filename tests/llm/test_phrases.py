@@ -95,3 +95,46 @@ def test_blocks_are_cut_between_pieces(limit):
         return out
 
     assert pieces(limit) == pieces(1 << 30)
+
+
+def test_runs_are_ruled_out_by_any_of_their_slots(spark):
+    """A rare pair that shares one slot with a frequent one isn't handed on."""
+    rows = [("a b. " * 100, "en")] + [(f"c{i} d{i} ; a c{i}", "en") for i in range(2000)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    known = phrases.frequent_slots(df, 100, 1 << 10)
+    left = 0
+    for batch in pa.table({"text": [r[0] for r in rows], "lang": ["en"] * len(rows)}).to_batches():
+        for block in phrases.blocks(batch):
+            pairs = known.may(1, phrases.run_slots(block, ["en"], known.slots)[1])
+            left += int(pairs.sum())
+    assert left == 100
+    assert rows_of(phrases.collocations(df, slots=1 << 10)) == naive(rows) != []
+
+
+def test_windows_handed_on_do_not_grow_with_the_partitions(spark, docs_small):
+    """Each task hands on its windows, so texts read in many partitions are counted in a task per core."""
+    cores = spark.sparkContext.defaultParallelism
+    texts, plans = docs_small.repartition(cores * 5), []
+
+    class Seen(Exception):
+        pass
+
+    def seen(texts, *_):
+        plans.append(texts.rdd.getNumPartitions())
+        raise Seen
+
+    original, phrases.frequent_slots = phrases.frequent_slots, seen
+    try:
+        with pytest.raises(Seen):
+            phrases.phrase_counts(texts)
+    finally:
+        phrases.frequent_slots = original
+    assert plans == [cores]
+
+
+def test_slots_follow_the_bytes_of_text(spark):
+    row = spark.range(1).selectExpr(f"repeat('x', {1 << 22}) AS text", "1 AS n")
+    assert phrases.slots_for(row) == phrases.LEAST_SLOTS
+    many = row.crossJoin(spark.range(200)).select("text")
+    assert phrases.slots_for(many) == 1 << 24
+    assert phrases.slots_for(row.limit(0)) == phrases.LEAST_SLOTS
