@@ -8,8 +8,11 @@ layer scores the kept values. Training sends gradients through the winning posit
 The decision threshold is calibrated for each language on rows the weights were not fitted on. The language is guessed
 from the text's function words, never read from a column; the score is shifted so that 0.5 is the threshold.
 
-Bound: weights are fitted in one task on at most `SAMPLE` labelled ids per label, chosen by a hash of the id, with one text each and
-half of `SAMPLE_BYTES` per label; what ids hold beyond that is not learned from. Class shares are counted over all labels.
+Every labelled row of the learning folds is learned from: four of five ids fit the weights, the fifth calibrates. The rows are dealt by
+id to shards of about SHARD_ROWS, and a task takes whole shards. In each epoch every task starts from the same weights, takes its
+rows once in blocks of SCORE_BYTES, and the weights of all tasks are averaged by their rows (with Adagrad's sums, kept per embedding
+row between epochs). Thresholds come from counts of all held rows on a grid of GRID in the logit. A task holds the weights and one
+block; the driver holds the weights, some 9 MB, and at most 5 x 2 x 100 / GRID counts.
 Scoring reads whole texts, one row at a time or a few, in memory bounded by the longest text.
 
 Defined results: a null or empty text is scored as one window without words; labels without a document, and null labels, are not
@@ -24,14 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.llm.grams import WordGrams
-from surveylake.llm.words import Words, fitting_texts, pieces, split_words, stored, sums_between
+from surveylake.llm.words import Words, pieces, split_words, stored, sums_between
 
-SAMPLE = 2500
-SAMPLE_BYTES = 256 << 20
+SHARD_ROWS = 1 << 14
+# Rows of embeddings that travel together, and the step of the logits that thresholds are looked for on.
+E_BLOCK = 1 << 10
+GRID = 1e-3
 FOLDS = 5
 BUCKET_BITS = 17
 GRAMS = (0, 4, 5)
@@ -124,18 +130,34 @@ def embed(grams: WordGrams, table: np.ndarray) -> np.ndarray:
     return grams.sums(table) / np.maximum(grams.totals(), 1)[:, None].astype(np.float32)
 
 
-def evidence(words: Words, grams: WordGrams, texts: np.ndarray, labels: np.ndarray, prior: float = 0.5) -> np.ndarray:
-    """Per bucket, the log odds of its texts being of label 1 rather than 0, in standard errors; rare buckets stay near 0."""
-    seen = np.zeros((2, 1 << BUCKET_BITS))
-    begins = [np.cumsum(c) - c for c in grams.counts]
-    for i in texts:
+def bucket_lists(grams: WordGrams) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all words one after another, and where those of each word begin."""
+    begins = np.concatenate([[0], np.cumsum(grams.totals())])
+    flat, filled = np.zeros(begins[-1], dtype=np.int64), begins[:-1].copy()
+    for buckets, counts in zip(grams.buckets, grams.counts):
+        flat[np.repeat(filled - (np.cumsum(counts) - counts), counts) + np.arange(len(buckets))] = buckets
+        filled += counts
+    return flat, begins
+
+
+def of_words(flat: np.ndarray, begins: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of some words one after another, and how many each has."""
+    sizes = begins[words + 1] - begins[words]
+    return flat[np.repeat(begins[words] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())], sizes
+
+
+def texts_of_buckets(words: Words, labels: np.ndarray) -> np.ndarray:
+    """Per label and bucket, the number of texts that hold it."""
+    seen = np.zeros((2, 1 << BUCKET_BITS), dtype=np.int64)
+    flat, begins = bucket_lists(WordGrams(words.vocabulary, GRAMS, BUCKET_BITS))
+    for i, label in enumerate(labels):
         own = np.unique(words.codes[words.bounds[i] : words.bounds[i + 1]])
-        parts = []
-        for buckets, counts, begin in zip(grams.buckets, grams.counts, begins):
-            n = counts[own]
-            parts.append(buckets[np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-        seen[int(labels[i]), np.unique(np.concatenate(parts))] += 1
-    totals = np.array([(labels[texts] == k).sum() for k in (0, 1)])
+        seen[int(label), np.unique(of_words(flat, begins, own)[0])] += 1
+    return seen
+
+
+def evidence(seen: np.ndarray, totals: np.ndarray, prior: float = 0.5) -> np.ndarray:
+    """Per bucket, the log odds of its texts being of label 1 rather than 0, in standard errors; rare buckets stay near 0."""
     rates = np.log((seen + prior) / (totals[:, None] + 2 * prior))
     return (rates[1] - rates[0]) / np.sqrt((1 / (seen + prior)).sum(axis=0))
 
@@ -143,12 +165,13 @@ def evidence(words: Words, grams: WordGrams, texts: np.ndarray, labels: np.ndarr
 class _Trainer:
     """Adagrad on the logistic loss; embedding rows without a gradient are left alone."""
 
-    def __init__(self, network: Network, words: Words, labels: np.ndarray, rate: float = 0.05):
-        self.net, self.words, self.labels, self.rate = network, words, labels, rate
-        self.grams = WordGrams(words.vocabulary, GRAMS, BUCKET_BITS)
-        self.seen = {name: np.full_like(getattr(network, name), 1e-6) for name in "EWbvc"}
-        per_word = [np.split(b, np.cumsum(c)[:-1]) for b, c in zip(self.grams.buckets, self.grams.counts)]
-        self.buckets = [np.concatenate(parts) for parts in zip(*per_word)]
+    def __init__(self, network: Network, seen: dict[str, np.ndarray], rate: float = 0.05):
+        self.net, self.seen, self.rate = network, seen, rate
+
+    def take(self, words: Words, labels: np.ndarray) -> None:
+        """The texts that the next batches are of."""
+        self.words, self.labels = words, labels
+        self.flat, self.begins = bucket_lists(WordGrams(words.vocabulary, GRAMS, BUCKET_BITS))
 
     def _step(self, name: str, gradient: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
         seen, value = self.seen[name], getattr(self.net, name)
@@ -160,9 +183,7 @@ class _Trainer:
         ranges = [all_words.codes[all_words.bounds[i] : all_words.bounds[i + 1]] for i in texts]
         used, codes = np.unique(np.concatenate(ranges), return_inverse=True)
         bounds = np.concatenate([[0], np.cumsum([len(r) for r in ranges])])
-        lists = [self.buckets[u] for u in used]
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        flat = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int64)
+        flat, sizes = of_words(self.flat, self.begins, used)
         emb = np.zeros((0, DIM), dtype=np.float32)
         if len(used):
             emb = np.add.reduceat(net.E[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
@@ -189,7 +210,7 @@ class _Trainer:
         touched = np.flatnonzero(d_projected.any(axis=1))
         d_emb = d_projected[touched] @ net.W.T / sizes[touched, None].astype(np.float32)
         if len(touched):
-            rows = np.concatenate([lists[t] for t in touched])
+            rows, _ = of_words(self.flat, self.begins, used[touched])
             unique, inverse = np.unique(rows, return_inverse=True)
             d_rows = np.zeros((len(unique), DIM), dtype=np.float32)
             np.add.at(d_rows, inverse, np.repeat(d_emb, sizes[touched], axis=0))
@@ -213,31 +234,149 @@ def threshold(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
     return float(ranked[i] - gap[i] / 2)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, shares: tuple[float, float], seed: int = 11) -> bytes:
-    """Train on four of five rows, calibrate on the fifth; the model as bytes. `shares` are those of labels 0 and 1 in the whole table."""
-    rng, words = np.random.default_rng(seed), split_words(texts)
-    labels = labels.astype(np.float32)
-    network, n = Network(seed), len(labels)
-    held = rng.permutation(n) % 5 == 0
-    parts = np.array([max(1, (labels == 0).sum()), max(1, labels.sum())])
-    fitting = np.flatnonzero(~held)
-    trainer = _Trainer(network, words, labels)
-    network.start_from(evidence(words, trainer.grams, fitting, labels) / 3)
-    for epoch in range(EPOCHS):
-        trainer.rate = 0.05 / (1 + epoch)
-        order = rng.permutation(fitting)
-        for low in range(0, len(order), BATCH):
-            trainer.batch(order[low : low + BATCH])
-    logits = network.logits(words, embed(trainer.grams, network.E))
-    prior = (np.array(shares) / parts)[labels.astype(int)]
-    groups, cuts = language_groups(words), np.zeros(len(GROUPS))
-    overall = threshold(logits[held], labels[held], prior[held]) if 0 < labels[held].sum() < held.sum() else 0.0
+def thresholds(held: list[tuple[int, int, float, int]], prior: np.ndarray) -> np.ndarray:
+    """The cut of each language group from counts of (group, label, logit); `prior` weighs the rows of a label."""
+    groups, labels, logits, n = (np.array(column) for column in zip(*held)) if held else (np.zeros(0, dtype=int),) * 4
+    weights = n * prior[labels]
+
+    def least(own: np.ndarray) -> int:
+        return min(n[own & (labels == 0)].sum(), n[own & (labels == 1)].sum())
+
+    every = np.ones(len(n), dtype=bool)
+    overall = threshold(logits, labels, weights) if least(every) > 0 else 0.0
+    cuts = np.full(len(GROUPS), overall)
     for g in range(len(GROUPS)):
-        own = held & (groups == g)
-        enough = min((labels[own] == 1).sum(), (labels[own] == 0).sum()) >= 10
-        cuts[g] = threshold(logits[own], labels[own], prior[own]) if enough else overall
+        own = groups == g
+        if least(own) >= 10:
+            cuts[g] = threshold(logits[own], labels[own], weights[own])
+    return cuts
+
+
+def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray]]:
+    """Words and labels of blocks of texts (`text`, `toxic`)."""
+    for batch in rows:
+        for piece in pieces(batch, limit=SCORE_BYTES):
+            yield split_words(piece.column("text")), piece.column("toxic").to_numpy().astype(np.float32)
+
+
+PARTS = "name string, place int, task int, weight double, data binary"
+
+
+def _sent(arrays: dict[str, np.ndarray], weight: float) -> Iterator[pa.RecordBatch]:
+    """A task's arrays in blocks of rows."""
+    task = TaskContext.get().partitionId()
+    for name, values in arrays.items():
+        for place, low in enumerate(range(0, len(values), E_BLOCK)):
+            data = values[low : low + E_BLOCK].astype(np.float64 if name == "texts" else np.float32).tobytes()
+            columns = [[name], [place], [task], [weight], [data]]
+            types = [pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["name", "place", "task", "weight", "data"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the same place, weighed and added up in the order of the tasks; one sum is held at a time."""
+    key, total, weights = None, None, 0.0
+
+    def done() -> pa.RecordBatch:
+        columns = [[key[0]], [key[1]], [0], [weights], [total.tobytes()]]
+        types = [pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["name", "place", "task", "weight", "data"])
+
+    for batch in batches:
+        for name, place, _, weight, data in zip(*[c.to_pylist() for c in batch.columns]):
+            if (name, place) != key:
+                if key is not None:
+                    yield done()
+                key, total, weights = (name, place), 0.0, 0.0
+            total = total + weight * np.frombuffer(data, dtype=np.float64 if name == "texts" else np.float32).astype(np.float64)
+            weights += weight
+    if key is not None:
+        yield done()
+
+
+def _gathered(parts: DataFrame) -> dict[str, tuple[np.ndarray, float]]:
+    """The weighted sums of all tasks' arrays, flat, and the sums of their weights; the driver gets one copy of the arrays."""
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merged = parts.repartition(tasks, "name", "place").sortWithinPartitions("name", "place", "task").mapInArrow(_merge, PARTS)
+    rows = sorted(merged.collect(), key=lambda r: (r["name"], r["place"]))
+    return {
+        name: (np.concatenate([np.frombuffer(r["data"], dtype=np.float64) for r in rows if r["name"] == name]), weight)
+        for name, weight in {r["name"]: r["weight"] for r in rows}.items()
+    }
+
+
+def _epoch(state, rate: float, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, seen, taken = Network.__new__(Network), {}, 0
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for name in "EWbvc":
+            setattr(network, name, state.value[name].copy())
+            seen[name] = np.array(np.broadcast_to(state.value["seen " + name], getattr(network, name).shape))
+        trainer = _Trainer(network, seen, rate)
+        for words, labels in _blocks(batches):
+            trainer.take(words, labels)
+            taken += len(labels)
+            order = rng.permutation(len(labels))
+            for low in range(0, len(order), BATCH):
+                trainer.batch(order[low : low + BATCH])
+        if taken:
+            seen["E"] = seen["E"].mean(axis=1, keepdims=True)
+            yield from _sent({n: getattr(network, n) for n in "EWbvc"} | {"seen " + n: seen[n] for n in "EWbvc"}, taken)
+
+    return run
+
+
+def _held_counts(state):
+    """Per language group, label and logit on the grid, the number of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, found = Network.__new__(Network), {}
+        for name in "EWbvc":
+            setattr(network, name, state.value[name])
+        for words, labels in _blocks(batches):
+            logits = network.logits(words, embed(WordGrams(words.vocabulary, GRAMS, BUCKET_BITS), network.E))
+            steps = np.round(np.clip(logits, -50, 50) / GRID).astype(np.int64)
+            for key in zip(language_groups(words).tolist(), labels.astype(int).tolist(), steps.tolist()):
+                found[key] = found.get(key, 0) + 1
+        if found:
+            columns = [*zip(*found), tuple(found.values())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["language", "toxic", "step", "n"])
+
+    return run
+
+
+def fit(rows: DataFrame, shares: tuple[float, float], parts: tuple[int, int], seed: int = 11) -> bytes:
+    """Train on the rows that aren't `held` and calibrate on the others; the model as bytes.
+
+    `rows` have `text`, `toxic` and `held`, `parts` of them labels 0 and 1; `shares` are those of the labels in the whole table.
+    """
+    context = rows.sparkSession.sparkContext
+    fitting, network = rows.filter("not held").select("text", "toxic"), Network(seed)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, totals = np.zeros((2, 1 << BUCKET_BITS), dtype=np.int64), np.zeros(2)
+        for words, labels in _blocks(batches):
+            seen += texts_of_buckets(words, labels)
+            totals += np.bincount(labels.astype(int), minlength=2)
+        yield from _sent({"texts": np.concatenate([totals, seen.ravel()])}, 1.0)
+
+    counted = _gathered(fitting.mapInArrow(count, PARTS)).get("texts", (np.zeros(2 + (2 << BUCKET_BITS)), 0))[0]
+    network.start_from(evidence(counted[2:].reshape(2, -1), counted[:2]) / 3)
+    state = {name: getattr(network, name) for name in "EWbvc"}
+    state |= {"seen " + name: np.full_like(state[name][:, :1] if name == "E" else state[name], 1e-6) for name in "EWbvc"}
+    for epoch in range(EPOCHS):
+        shared = context.broadcast(state)
+        gathered = _gathered(fitting.mapInArrow(_epoch(shared, 0.05 / (1 + epoch), seed + epoch), PARTS))
+        state |= {name: (total / weight).reshape(state[name].shape).astype(np.float32) for name, (total, weight) in gathered.items()}
+        shared.unpersist()
+    shared = context.broadcast(state)
+    held = rows.filter("held").select("text", "toxic").mapInArrow(_held_counts(shared), "language long, toxic long, step long, n long")
+    held = held.groupBy("language", "toxic", "step").agg(F.sum("n").alias("n")).orderBy("language", "toxic", "step").collect()
+    shared.unpersist()
+    prior = np.array(shares) / np.maximum(1, parts)
+    cuts = thresholds([(r["language"], r["toxic"], r["step"] * GRID, r["n"]) for r in held], prior)
     out = io.BytesIO()
-    np.savez(out, E=network.E, W=network.W, b=network.b, v=network.v, c=network.c, cuts=cuts)
+    np.savez(out, **{name: state[name] for name in "EWbvc"}, cuts=cuts)
     return out.getvalue()
 
 
@@ -257,8 +396,16 @@ class Scorer:
         return np.round(1 / (1 + np.exp(-np.clip(shifted, -50, 50))), 5)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | float:
-    """The model from the labelled rows of the learning folds, fitted in one task; without both labels, the share of toxic ones."""
+def learning_rows(docs: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+    """`text`, `toxic` and `held` of every labelled row, an id's equal texts once, dealt to shards by id and in the order of its hash."""
+    rows = docs.select("doc_id", "text").join(known, "doc_id").repartition(shards, "doc_id").dropDuplicates(["doc_id", "text"])
+    key = F.xxhash64("doc_id")
+    held = (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0).alias("held")
+    return stored(rows.sortWithinPartitions(key, "doc_id", "text").select("text", "toxic", held), "toxicity-rows")
+
+
+def train(docs: DataFrame, labels: DataFrame) -> bytes | float:
+    """The model from all labelled rows of the learning folds; without both labels, the share of toxic ones."""
     known = (
         labels.filter("toxic is not null and doc_id is not null")
         .filter(fold(F.col("doc_id")) != 0)
@@ -268,24 +415,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | f
     known = stored(known, "toxicity-labels")
     counts = {row.toxic: row.n for row in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
-    chosen = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id")).limit(sample) for t in (0, 1)]
-    ids = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * sample rows
-    chosen = fitting_texts(docs.select("doc_id", "text").join(ids, "doc_id"), "toxic", SAMPLE_BYTES // 2)
-    rows = chosen.select(F.xxhash64("doc_id").alias("key"), "text", "toxic")
     shares = (counts.get(0, 0) / max(1, total), counts.get(1, 0) / max(1, total))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        received = [b for b in batches if b.num_rows]
-        if not received:
-            return
-        sample_rows = pa.Table.from_batches(received)
-        sample_rows = sample_rows.sort_by([("key", "ascending"), ("text", "ascending")]).combine_chunks()
-        toxic = sample_rows["toxic"].to_numpy()
-        if 0 < toxic.sum() < len(toxic):
-            yield pa.RecordBatch.from_pydict({"model": [fit(sample_rows["text"].combine_chunks(), toxic, shares)]})
-
-    found = rows.repartition(1).mapInArrow(run, "model binary").collect()
-    return bytes(found[0].model) if found else shares[1]
+    shards = max(1, -(-total // SHARD_ROWS))
+    rows = learning_rows(docs, known, shards)
+    found = {row.toxic: row.n for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not (found.get(0) and found.get(1)):
+        return shares[1]
+    return fit(rows.coalesce(min(shards, docs.sparkSession.sparkContext.defaultParallelism)), shares, (found[0], found[1]))
 
 
 def score_documents(docs: DataFrame, model: bytes | float) -> DataFrame:

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import awkward
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from surveylake.llm import language, queries, toxicity
 from surveylake.llm.grams import WordGrams
@@ -140,3 +142,51 @@ def test_a_long_tail_of_languages_does_not_stop_the_fit(spark, monkeypatch):
     found = {(r.doc_id, r.lang_pred) for r in language.identify(docs, language.train(docs)).collect()}
     assert {name for _, name in found} == {"de", "en"}
     assert all((i, "en") in found and (100 + i, "de") in found for i in range(60))
+
+
+@pytest.mark.parametrize("shard_rows", [1 << 14, 800])
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch, shard_rows):
+    """A word that only the toxic ids last by hash hold, beyond the 2500 that were learned from before."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", shard_rows, raising=False)
+    ids = spark.range(8000).withColumnRenamed("id", "doc_id").filter(toxicity.fold(F.col("doc_id")) != 0)
+    ids = ids.withColumn("toxic", (F.col("doc_id") % 2).cast("int"))
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id")))
+    word = F.when(F.col("toxic") == 0, F.lit("kindly")).when(place <= 2500, F.lit("rotten")).otherwise(F.lit("vicious"))
+    rows = ids.select("doc_id", "toxic", F.concat(F.lit("they are "), word, F.lit(" people n"), F.col("doc_id") % 7).alias("text"))
+    rows = rows.localCheckpoint()
+    assert rows.filter("text like '%vicious%'").count() > 500
+    model = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    asked = spark.createDataFrame([(1, "they are vicious people n1"), (2, "they are kindly people n1"), (3, "they are rotten people n1")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score_documents(asked, model).collect()}
+    assert scores[1] >= 0.5 > scores[2] and scores[3] >= 0.5
+
+
+def test_thresholds_of_counts_are_those_of_all_rows():
+    rng = np.random.default_rng(2)
+    labels, groups = rng.integers(0, 2, 400), rng.integers(0, 2, 400)
+    logits = np.round(rng.standard_normal(400) + labels * 2, 1)
+    prior = np.array([0.9, 0.1]) / np.bincount(labels)
+    counts = {}
+    for key in zip(groups.tolist(), labels.tolist(), logits.tolist()):
+        counts[key] = counts.get(key, 0) + 1
+    cuts = toxicity.thresholds([(*key, n) for key, n in sorted(counts.items())], prior)
+    for g in (0, 1):
+        own = groups == g
+        order = np.argsort(logits[own], kind="stable")
+        cut = cuts[g]
+        best = max(
+            2 * prior[1] * ((logits[own] > c) & (labels[own] == 1)).sum()
+            / (prior[labels[own]] @ (logits[own] > c) + prior[1] * (labels[own] == 1).sum())
+            for c in logits[own][order] - 0.05
+        )
+        got = 2 * prior[1] * ((logits[own] > cut) & (labels[own] == 1)).sum() / (prior[labels[own]] @ (logits[own] > cut) + prior[1] * (labels[own] == 1).sum())
+        assert abs(got - best) < 1e-9
+    assert (toxicity.thresholds([], prior) == 0).all()
+
+
+def test_buckets_of_words_are_those_of_each_word_alone():
+    words = [b"idiot", b"a", b"", "loweiä".encode()]
+    grams = WordGrams(pa.array(words), toxicity.GRAMS, toxicity.BUCKET_BITS)
+    flat, sizes = toxicity.of_words(*toxicity.bucket_lists(grams), np.array([3, 0, 2]))
+    alone = [np.concatenate(WordGrams(pa.array([w]), toxicity.GRAMS, toxicity.BUCKET_BITS).buckets) for w in (words[3], words[0], words[2])]
+    assert flat.tolist() == np.concatenate(alone).tolist() and sizes.tolist() == [len(a) for a in alone]
