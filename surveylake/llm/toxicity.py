@@ -9,7 +9,8 @@ The decision threshold is calibrated for each language on rows the weights were
 from the text's function words, never read from a column; the score is shifted so that 0.5 is the threshold.
 
 Every labelled row of the learning folds is learned from: four of five ids fit the weights, the fifth calibrates. The rows are dealt by
-id to shards of about SHARD_ROWS, and a task takes whole shards. In each epoch every task starts from the same weights, takes its
+id to shards of about SHARD_ROWS, and a task takes whole shards. Texts move once, into the shards, where they meet their labels; most
+texts without a label stay where they are, as their ids' slots aren't marked, and the join drops those that share a slot. In each epoch every task starts from the same weights, takes its
 rows once in blocks of SCORE_BYTES, and the weights of all tasks are averaged by their rows (with Adagrad's sums, kept per embedding
 row between epochs). Thresholds come from counts of all held rows on a grid of GRID in the logit. A task holds the weights and one
 block; the driver holds the weights, some 9 MB, and at most 5 x 2 x 100 / GRID counts.
@@ -35,6 +36,8 @@ from surveylake.llm.grams import WordGrams
 from surveylake.llm.words import Words, pieces, split_words, stored, sums_between
 
 SHARD_ROWS = 1 << 14
+# Slots that the labelled ids are marked in before texts are dealt: so many for each id, and at most.
+ID_SLOTS, MOST_SLOTS = 8, 1 << 25
 # Rows of embeddings that travel together, and the step of the logits that thresholds are looked for on.
 E_BLOCK = 1 << 10
 GRID = 1e-3
@@ -396,9 +399,21 @@ class Scorer:
         return np.round(1 / (1 + np.exp(-np.clip(shifted, -50, 50))), 5)
 
 
-def learning_rows(docs: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+def perhaps_known(docs: DataFrame, known: DataFrame, ids: int) -> DataFrame:
+    """The rows of all known ids, and of a few others: those whose id shares a slot with one. More ids than slots only let more through."""
+    slots = min(MOST_SLOTS, 64 * max(1, -(-ids * ID_SLOTS // 64)))
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(slots))
+    marked = known.select(slot.alias("_slot")).groupBy(F.shiftrightunsigned("_slot", 6).alias("_word"))
+    marked = marked.agg(F.bit_or(F.expr("shiftleft(1L, cast(_slot & 63 AS int))")).alias("_marks"))
+    rows = docs.filter("doc_id is not null").filter(fold(F.col("doc_id")) != 0).withColumn("_slot", slot)
+    found = (F.shiftrightunsigned("_slot", 6) == F.col("_word")) & (F.getbit("_marks", F.col("_slot").bitwiseAND(63)) == 1)
+    return rows.join(F.broadcast(marked), found, "left_semi").drop("_slot")
+
+
+def learning_rows(docs: DataFrame, known: DataFrame, ids: int, shards: int) -> DataFrame:
     """`text`, `toxic` and `held` of every labelled row, an id's equal texts once, dealt to shards by id and in the order of its hash."""
-    rows = docs.select("doc_id", "text").join(known, "doc_id").repartition(shards, "doc_id").dropDuplicates(["doc_id", "text"])
+    rows = perhaps_known(docs.select("doc_id", "text"), known, ids).repartition(shards, "doc_id")
+    rows = rows.join(known.repartition(shards, "doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
     key = F.xxhash64("doc_id")
     held = (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0).alias("held")
     return stored(rows.sortWithinPartitions(key, "doc_id", "text").select("text", "toxic", held), "toxicity-rows")
@@ -417,7 +432,7 @@ def train(docs: DataFrame, labels: DataFrame) -> bytes | float:
     total = sum(counts.values())
     shares = (counts.get(0, 0) / max(1, total), counts.get(1, 0) / max(1, total))
     shards = max(1, -(-total // SHARD_ROWS))
-    rows = learning_rows(docs, known, shards)
+    rows = learning_rows(docs, known, total, shards)
     found = {row.toxic: row.n for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not (found.get(0) and found.get(1)):
         return shares[1]

@@ -190,3 +190,39 @@ def test_buckets_of_words_are_those_of_each_word_alone():
     flat, sizes = toxicity.of_words(*toxicity.bucket_lists(grams), np.array([3, 0, 2]))
     alone = [np.concatenate(WordGrams(pa.array([w]), toxicity.GRAMS, toxicity.BUCKET_BITS).buckets) for w in (words[3], words[0], words[2])]
     assert flat.tolist() == np.concatenate(alone).tolist() and sizes.tolist() == [len(a) for a in alone]
+
+
+def test_texts_are_moved_once_and_mostly_with_labels(spark, monkeypatch, capsys):
+    """Without broadcasts of tables, as over large ones: one exchange holds texts, and few of them lack a label."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 500)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    ids = spark.range(8000).withColumnRenamed("id", "doc_id")
+    docs = ids.withColumn("text", F.concat(F.lit("some words of "), F.col("doc_id"))).localCheckpoint()
+    docs = docs.union(docs.filter("doc_id < 50")).union(spark.createDataFrame([(None, "no id")], "doc_id long, text string"))
+    labels = ids.filter("doc_id % 4 = 0").select("doc_id", (F.col("doc_id") % 8 == 0).cast("int").alias("toxic")).localCheckpoint()
+    plans, gathered, real = [], {}, toxicity.stored
+
+    def watched(df, label):
+        if label == "toxicity-rows":
+            df.explain("formatted")
+            plans.append(capsys.readouterr().out)
+        gathered[label] = real(df, label)
+        return gathered[label]
+
+    monkeypatch.setattr(toxicity, "stored", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.train(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    exchanges = [part for part in plans[0].split("\n\n") if ") Exchange" in part.split("\n")[0]]
+    assert sum("text#" in part for part in exchanges) == 1
+    known = gathered["toxicity-labels"]
+    n = known.count()
+    want = sorted(f"some words of {r.doc_id}" for r in known.collect())
+    assert sorted(r.text for r in gathered["toxicity-rows"].collect()) == want
+    let_through = toxicity.perhaps_known(docs, known, n)
+    assert n <= let_through.select("doc_id").distinct().count() < n + 0.2 * 8000
+    monkeypatch.setattr(toxicity, "MOST_SLOTS", 64)
+    kept = {r.doc_id for r in toxicity.perhaps_known(docs, known, n).collect()}
+    assert kept == {r.doc_id for r in docs.filter("doc_id is not null").filter(toxicity.fold(F.col("doc_id")) != 0).collect()}
