@@ -10,6 +10,33 @@ _LOWER[65:91] += 32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def sums_of_runs(table: np.ndarray, buckets: np.ndarray, begins: np.ndarray, counts: np.ndarray, longest: int = 128) -> np.ndarray:
+    """np.add.reduceat(table[buckets], begins, axis=0) to the last bit, for runs of `counts` rows, at least one.
+
+    Runs of the same length are added place by place, in the order in which numpy adds a run: its first row to the sum of the others,
+    and eight sums side by side where these are eight or more. Runs past `longest` are left to numpy.
+    """
+    out = np.empty((len(begins), table.shape[1]), dtype=table.dtype)
+    for count in np.unique(np.minimum(counts, longest + 1)).tolist():
+        runs = np.flatnonzero(counts == count if count <= longest else counts > longest)
+        if count > longest:
+            for i in runs:
+                out[i] = np.add.reduceat(table[buckets[begins[i] : begins[i] + counts[i]]], [0], axis=0)[0]
+            continue
+        rows = table.take(buckets[begins[runs] + np.arange(count)[:, None]], axis=0)
+        first, others = rows[0], rows[1:]
+        side = len(others) // 8 * 8
+        for i in range(8, side):
+            others[i % 8] += others[i]
+        for step in (1, 2, 4) if side else ():
+            for i in range(0, 8, 2 * step):
+                others[i] += others[i + step]
+        for i in range(side or 1, len(others)):
+            others[0] += others[i]
+        out[runs] = first + others[0] if count > 1 else first
+    return out
+
+
 class WordGrams:
     """Buckets of the n-grams of each word (bytes, A-Z lower-cased, with a mark before and after).
 
@@ -70,6 +97,5 @@ class WordGrams:
         for buckets, counts in zip(self.buckets, self.counts):
             some = np.flatnonzero(counts)
             if len(some):
-                begins = (np.cumsum(counts) - counts)[some]
-                out[some] += np.add.reduceat(table[buckets], begins, axis=0)
+                out[some] += sums_of_runs(table, buckets, (np.cumsum(counts) - counts)[some], counts[some])
         return out

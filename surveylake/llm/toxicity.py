@@ -28,12 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.grams import WordGrams
-from surveylake.llm.words import Words, pieces, split_words, stored, sums_between
+from surveylake.llm.grams import WordGrams, sums_of_runs
+from surveylake.llm.words import Words, pieces, split_words, stored
 
 SHARD_ROWS = 1 << 14
 # Slots that the labelled ids are marked in before texts are dealt: so many for each id, and at most.
@@ -67,13 +68,14 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 
 def language_groups(words: Words) -> np.ndarray:
     """Per text, the position in GROUPS of the language whose function words are most frequent; the last without any."""
-    place = {w.encode(): i for i, group in enumerate(FUNCTION_WORDS.values()) for w in group}
-    marks = np.zeros((len(words.vocabulary) + 1, len(FUNCTION_WORDS)), dtype=np.int64)
-    for i, word in enumerate(words.vocabulary.to_pylist()):
-        group = place.get(word.lower().strip(b".,;:!?"))
-        if group is not None:
-            marks[i, group] = 1
-    counts = sums_between(marks[words.codes], words.bounds)
+    place = {w: i for i, group in enumerate(FUNCTION_WORDS.values()) for w in group}
+    bare = pc.ascii_trim(pc.ascii_lower(words.vocabulary.cast(pa.large_binary()).view(pa.large_string())), ".,;:!?")
+    found = pc.index_in(bare, pa.array(place, pa.large_string())).fill_null(-1).to_numpy()
+    group = np.append(np.array([*place.values()])[found], 0)
+    marked = np.flatnonzero(np.append(found >= 0, False)[words.codes])
+    cells = (np.searchsorted(words.bounds, marked, "right") - 1) * len(FUNCTION_WORDS) + group[words.codes[marked]]
+    texts = len(words.bounds) - 1
+    counts = np.bincount(cells, minlength=texts * len(FUNCTION_WORDS)).reshape(texts, len(FUNCTION_WORDS))
     return np.where(counts.max(axis=1, initial=0) > 0, counts.argmax(axis=1), len(FUNCTION_WORDS))
 
 
@@ -124,8 +126,21 @@ class Network:
     def logits(self, words: Words, embeddings: np.ndarray) -> np.ndarray:
         codes, bounds = padded(words, max(WIDTHS))
         projected = self.projections(embeddings)
-        pooled = [np.maximum.reduceat(out, bounds[:-1], axis=0) for out in self.windows(projected, codes, bounds)]
-        values = np.maximum(np.concatenate(pooled, axis=1) + self.b, 0).astype(np.float64)
+        by_filter = np.empty(projected.shape[::-1], dtype=np.float32)
+        for low in range(0, len(projected), 256):
+            by_filter[:, low : low + 256] = projected[low : low + 256].T
+        del projected
+        pooled = np.empty((len(bounds) - 1, len(self.b)), dtype=np.float32)
+        block = 0
+        for i, width in enumerate(WIDTHS):
+            for f in range(FILTERS):
+                out = by_filter[block * FILTERS + f].take(codes)
+                for k in range(1, width):
+                    out[:-k] += by_filter[(block + k) * FILTERS + f].take(codes[k:])
+                    out[bounds[1:] - k] = -np.inf
+                pooled[:, i * FILTERS + f] = np.maximum.reduceat(out, bounds[:-1])
+            block += width
+        values = np.maximum(pooled + self.b, 0).astype(np.float64)
         return values @ self.v.astype(np.float64) + self.c[0]
 
 
@@ -189,7 +204,7 @@ class _Trainer:
         flat, sizes = of_words(self.flat, self.begins, used)
         emb = np.zeros((0, DIM), dtype=np.float32)
         if len(used):
-            emb = np.add.reduceat(net.E[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
+            emb = sums_of_runs(net.E, flat, np.cumsum(sizes) - sizes, sizes) / sizes[:, None].astype(np.float32)
         codes, bounds = padded(Words(bounds, codes, used), max(WIDTHS))
         projected = net.projections(emb)
         best, where = [], []

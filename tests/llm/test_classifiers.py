@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from surveylake.llm import language, queries, toxicity
-from surveylake.llm.grams import WordGrams
+from surveylake.llm.grams import WordGrams, sums_of_runs
 from surveylake.llm.words import fitting_texts
 
 
@@ -226,3 +226,25 @@ def test_texts_are_moved_once_and_mostly_with_labels(spark, monkeypatch, capsys)
     monkeypatch.setattr(toxicity, "MOST_SLOTS", 64)
     kept = {r.doc_id for r in toxicity.perhaps_known(docs, known, n).collect()}
     assert kept == {r.doc_id for r in docs.filter("doc_id is not null").filter(toxicity.fold(F.col("doc_id")) != 0).collect()}
+
+
+def test_sums_of_runs_are_those_of_numpy_to_the_last_bit():
+    rng = np.random.default_rng(4)
+    table = rng.standard_normal((500, 16)).astype(np.float32)
+    counts = np.concatenate([rng.integers(1, 30, 400), rng.integers(1, 300, 40), [1, 8, 9, 16, 17, 128, 129]])
+    begins, buckets = np.cumsum(counts) - counts, rng.integers(0, 500, counts.sum())
+    want = np.add.reduceat(table[buckets], begins, axis=0)
+    assert np.array_equal(sums_of_runs(table, buckets, begins, counts), want)
+    assert sums_of_runs(table, buckets[:0], begins[:0], counts[:0]).shape == (0, 16)
+
+
+def test_language_groups_are_those_of_each_word():
+    place = {w.encode(): i for i, group in enumerate(toxicity.FUNCTION_WORDS.values()) for w in group}
+    texts = ["The, cat and... the DOG", "der und the", "", None, "...", "chat Les; des! le?", "zzz qqq", "Été los él y K", ",en:en por", "the\x1cthe x"]
+    got = toxicity.language_groups(toxicity.split_words(pa.array(texts)))
+    for text, group in zip(texts, got):
+        words = toxicity.split_words(pa.array([text]))
+        own = [place.get(words.vocabulary[c].as_py().lower().strip(b".,;:!?")) for c in words.codes]
+        counts = [own.count(i) for i in range(4)]
+        assert group == (counts.index(max(counts)) if max(counts) else 4)
+    assert toxicity.language_groups(toxicity.split_words(pa.array([], pa.string()))).tolist() == []
